@@ -22,7 +22,7 @@ def pair_items(items: Column, answers: Column) -> Column:
 def normalize_options(options: Column) -> Column:
     """Array of ``(name, value, score)`` with missing parts filled."""
     return F.transform(
-        F.coalesce(options, F.array()) if options is None else options,
+        options,
         lambda o: F.struct(
             F.coalesce(o["text"], F.lit("")).alias("name"),
             F.coalesce(o["value"], F.lit(0)).alias("value"),
