@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordflow.functions.dates import as_date
-from recordflow.schemas import EVENT, FIELD, FLAT_KEYS
+from recordflow.schemas import FIELD, FLAT_KEYS
 
 # ---- fixed values: error texts of the target system ----
 UNKNOWN_FIELDS = (
@@ -28,9 +28,8 @@ def known_fields(
     known = dictionary.select(F.col(FIELD).alias("_known")).distinct()
     on = F.col(FIELD) == F.col("_known")
     always_kept = F.col(FIELD).isin(*always)
-    kept = eav.join(known, on, "left_semi") if not always else eav.join(
-        known.withColumn("_hit", F.lit(True)), on, "left"
-    ).where(F.col("_hit") | always_kept).drop("_known", "_hit")
+    marked = eav.join(known.withColumn("_hit", F.lit(True)), on, "left")
+    kept = marked.where(F.col("_hit") | always_kept).drop("_known", "_hit")
     unknown = eav.select(FIELD).where(~always_kept).distinct().join(known, on, "left_anti")
     return kept, unknown
 
@@ -97,7 +96,3 @@ def outcome_class(status: Column, message: Column) -> Column:
     exists = (status == 422) | ((status == 400) & (F.coalesce(message, F.lit("")) == NON_UNIQUE))
     return F.when(status == 200, "created").when(exists, "exists").otherwise("error")
 
-
-def has_event(df: DataFrame) -> bool:
-    """Whether a frame names its event."""
-    return EVENT in df.columns
