@@ -50,7 +50,6 @@ def invitation_rows(
     account: Account,
     as_of: date | str,
     id_context: DataFrame | None = None,
-    order_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per recently seen respondent of the application.
 
@@ -72,11 +71,8 @@ def invitation_rows(
     )
     secret = account.field("source_secret_id")
     if account.kind == "responder" and id_context is not None:
-        return lookup_by_secondary(rows, id_context, secret, "record_id", "record_id", order_by) if (
-            secret == "r_id"
-        ) else lookup_by_secondary(
-            rows, id_context.withColumn(secret, F.col("r_id")), secret, "record_id", "record_id", order_by
-        )
+        ids = id_context.select(F.col("r_id").alias(secret), "record_id")
+        return lookup_by_secondary(rows, ids, secret, "record_id", "record_id")
     return rows.withColumn("record_id", F.col(secret))
 
 
@@ -169,18 +165,12 @@ def load_rows(
     fresh = unprocessed(keyed, log, ledger, as_of, ttl_minutes).drop("cache_key")
     answered = answered_only(fresh, responses)
     has_response = response in answered.columns
+    replied = F.col(response).isNotNull() if has_response else F.lit(False)
+    by_invite = completion_status(None, F.col(status))
+    by_response = completion_status(F.col(response), F.col(status)) if has_response else by_invite
     answered = answered.withColumn(
-        account.complete,
-        F.when(
-            F.lit(has_response) & F.col(response).isNotNull(),
-            completion_status(F.col(response), F.col(status)),
-        ).otherwise(completion_status(None, F.col(status)))
-        if has_response
-        else completion_status(None, F.col(status)),
-    )
-    answered = answered.withColumn(
-        "_answered", F.col(response).isNotNull() if has_response else F.lit(False)
-    )
+        account.complete, F.when(replied, by_response).otherwise(by_invite)
+    ).withColumn("_answered", replied)
     final = with_composite_key(answered, ["record_id", status, "_answered"]).drop("_answered")
     last = keep_one(final, ["record_id"], order_by, keep="last")
     columns = [c for c in last.columns if c not in ("cache_key", "respondent_id")]

@@ -1,6 +1,4 @@
-"""Fixed column names and schemas shared by all operators."""
-
-from pyspark.sql import types as T
+"""Fixed column names and schemas (as DDL text) shared by all operators."""
 
 RECORD = "record"
 FIELD = "field_name"
@@ -13,8 +11,8 @@ EAV_COLUMNS = [RECORD, FIELD, VALUE, EVENT]
 FLAT_KEYS = ["record_id", EVENT, INSTRUMENT, INSTANCE]
 
 
-def _fields(**columns: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in columns.items()))
+def _fields(**columns: str) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
 
 
 EAV_SCHEMA = _fields(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from recordflow.functions.nested import camel_case
@@ -17,11 +17,10 @@ from recordflow.schemas import ALERT_SCHEMA, RECORD, TRIGGER_SCHEMA
 CORRUPT = "_corrupt_record"
 
 
-def read_messages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_messages(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Stream of JSON messages; a malformed one fills ``_corrupt_record`` and nothing else."""
-    kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     return (
-        spark.readStream.schema(kept)
+        spark.readStream.schema(f"{schema}, {CORRUPT} string")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
