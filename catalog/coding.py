@@ -316,11 +316,11 @@ def default_no(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 SELECT event_id, CASE WHEN event_type = 'view' THEN '1' ELSE '0' END AS by_response,
-       CASE WHEN user_id % 4 = 3 THEN '1' ELSE '0' END AS by_invite FROM events
+       CASE WHEN event_type = 'signup' THEN '1' ELSE '0' END AS by_invite FROM events
 """)
 def completion_status(spark: SparkSession, sf: str) -> DataFrame:
     response = F.when(F.col("event_type") == "view", F.lit(1))
-    invite = F.col("user_id") % 4
+    invite = F.when(F.col("event_type") == "signup", 3).when(F.col("event_type") == "view", 2)
     return table(spark, sf, "events").select(
         "event_id",
         codes.completion_status(response, invite).alias("by_response"),

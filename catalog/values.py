@@ -173,10 +173,6 @@ def window_bounds(spark: SparkSession, sf: str) -> DataFrame:
 
 def _messages(spark: SparkSession, sf: str) -> DataFrame:
     """An alert message per event; errors have another shape."""
-    good = F.concat(
-        F.lit('Red: "'), "event_type", F.lit(': "" to feeling '), money("value"), F.lit('" to parent_'),
-        F.initcap("event_type"), F.lit("_"), text("user_id"),
-    )
     good = F.concat(
         F.lit('Red: "'), money("value"), F.lit('" to Feeling "tired" to bed Parent_'), "event_type", F.lit("_"),
         text("event_id"),
@@ -207,30 +203,15 @@ def rejected_alert(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- arrays and JSON
 
 
-def _dialogues(spark: SparkSession, sf: str) -> DataFrame:
-    """Per conversation the user turns and the assistant turns, in order."""
-    ordered = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
-    talks = table(spark, sf, "conversations").groupBy("conv_id").agg(ordered.alias("t"))
-
-    def side(role: str):
-        return F.transform(F.filter("t", lambda x: x["role"] == role), lambda x: x["text"])
-
-    return talks.select("conv_id", side("user").alias("items"), side("assistant").alias("answers"))
-
-
-DIALOGUES = """
-  SELECT conv_id, coalesce(list(text ORDER BY turn) FILTER (role = 'user'), []) AS items,
-         coalesce(list(text ORDER BY turn) FILTER (role = 'assistant'), []) AS answers FROM conversations GROUP BY conv_id
-"""
-
-
-@query(f"""
-SELECT conv_id, CAST(i - 1 AS INTEGER) AS position, items[i] AS item, answers[i] AS answer
-FROM (SELECT *, unnest(range(1, len(items) + 1)) AS i FROM ({DIALOGUES}))
+@query(r"""
+SELECT doc_id, CAST(i - 1 AS INTEGER) AS position, md5(items[i]) AS item, md5(answers[i]) AS answer
+FROM (SELECT *, unnest(range(1, len(items) + 1)) AS i
+      FROM (SELECT doc_id, string_split(text, chr(10)) AS items, string_split(text, '. ') AS answers FROM documents))
 """)
 def zip_items(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = nested.pair_items(F.col("items"), F.col("answers"))
-    return _dialogues(spark, sf).select("conv_id", F.inline(pairs))
+    pairs = nested.pair_items(F.split("text", "\n"), F.split("text", "\\. "))
+    rows = table(spark, sf, "documents").select("doc_id", F.inline(pairs))
+    return rows.select("doc_id", "position", F.md5("item").alias("item"), F.md5("answer").alias("answer"))
 
 
 @query("""
@@ -246,10 +227,6 @@ def option_norm(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", F.inline(nested.normalize_options(options)))
 
 
-_JSON_VALUE = """CASE event_type WHEN 'view' THEN CAST(user_id AS VARCHAR) WHEN 'click' THEN '"' || event_type || '"'
-  WHEN 'purchase' THEN '["a","' || user_id || '"]' WHEN 'error' THEN 'null' END"""
-
-
 @query("""
 SELECT event_id, 'kind' AS type, CASE event_type WHEN 'view' THEN CAST(user_id AS VARCHAR) WHEN 'click' THEN 'click'
          WHEN 'purchase' THEN '["a","' || user_id || '"]' END AS raw_value,
@@ -274,21 +251,22 @@ def response_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT user_id, CAST(arg_min(event_id, event_id) FILTER (event_type = 'view') AS VARCHAR) AS first_view,
-       CAST(max(event_id) FILTER (event_type = 'view') AS VARCHAR) AS last_view FROM events GROUP BY user_id, strftime(ts, '%d')
+SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN CAST(event_id AS VARCHAR) END AS first_entry,
+       CASE event_type WHEN 'view' THEN 'last' WHEN 'click' THEN CAST(event_id AS VARCHAR) END AS last_entry FROM events
 """)
 def array_entry(spark: SparkSession, sf: str) -> DataFrame:
-    entries = F.sort_array(F.collect_list(F.struct("event_id", "event_type")))
-    grouped = table(spark, sf, "events").groupBy("user_id", F.dayofmonth("ts").alias("d")).agg(entries.alias("entries"))
-    first = nested.entry_by_id(F.col("entries"), "event_type", F.lit("view"))
-    last = nested.entry_by_id(F.col("entries"), "event_type", F.lit("view"), last=True)
-    return grouped.select(
-        "user_id", text_of(first, "event_id").alias("first_view"), text_of(last, "event_id").alias("last_view")
+    entries = F.array(
+        F.struct(F.lit("other").alias("kind"), F.lit("none").alias("id")),
+        F.struct(F.nullif(F.col("event_type"), F.lit("click")).alias("kind"), text("event_id").alias("id")),
+        F.struct(F.lit("click").alias("kind"), text("event_id").alias("id")),
+        F.struct(F.lit("view").alias("kind"), F.lit("last").alias("id")),
+    )
+    wanted = F.when(F.col("event_type").isin("view", "click"), F.col("event_type"))
+    return table(spark, sf, "events").select(
+        "event_id",
+        nested.entry_by_id(entries, "kind", wanted)["id"].alias("first_entry"),
+        nested.entry_by_id(entries, "kind", wanted, last=True)["id"].alias("last_entry"),
     )
-
-
-def text_of(entry, name: str):
-    return entry[name].cast("string")
 
 
 @query("""

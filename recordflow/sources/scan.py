@@ -51,6 +51,11 @@ def read_instruments(
     rows = spark.read.option("header", True).schema(schema).csv(path).select(
         "*", F.regexp_replace("_metadata.file_name", r"\.csv$", "").alias("instrument")
     )
+    return only_instruments(rows, instruments)
+
+
+def only_instruments(rows: DataFrame, instruments: DataFrame) -> DataFrame:
+    """Rows of known instruments, case ignored."""
     known = instruments.select(F.lower("instrument_name").alias("_known")).distinct()
     return rows.join(known, F.lower("instrument") == F.col("_known"), "left_semi")
 
