@@ -46,8 +46,9 @@ READY = f"""
 
 
 def _formatted(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    source = intake.ready_records(intake_eav(spark, sf))
-    return source, intake.format_records(source, intake.standard_rules(AS_OF), order_by=ORDER)
+    source = intake_eav(spark, sf)
+    rules = intake.standard_rules(AS_OF)
+    return source, intake.format_records(source, rules, ready=fixed.INTAKE_READY, order_by=ORDER)
 
 
 @query(f"WITH {READY}, {FORMATTED} SELECT * FROM formatted")
@@ -73,7 +74,7 @@ SELECT CAST(max(CAST(o_orderkey AS BIGINT)) AS VARCHAR) AS record, 'order_arm_1'
 """)
 def job_intake_status(spark: SparkSession, sf: str) -> DataFrame:
     source, formatted = _formatted(spark, sf)
-    numbered = source.withColumn("number", F.col("record").cast("bigint"))
+    numbered = intake.ready_records(source).withColumn("number", F.col("record").cast("bigint"))
     return intake.sent_status(formatted, numbered, order_by=["number"])[0]
 
 

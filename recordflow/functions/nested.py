@@ -9,14 +9,18 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 def pair_items(items: Column, answers: Column) -> Column:
     """Array of ``(position, item, answer)``; a missing answer is null, a surplus one dropped."""
-    return F.transform(
+    pairs = F.zip_with(
         items,
-        lambda item, i: F.struct(
-            i.alias("position"),
-            item.alias("item"),
-            F.try_element_at(answers, i + 1).alias("answer"),
+        F.coalesce(answers, F.array()),
+        lambda item, answer: F.struct(item.alias("item"), answer.alias("answer")),
+    )
+    numbered = F.transform(
+        pairs,
+        lambda pair, i: F.struct(
+            i.alias("position"), pair["item"].alias("item"), pair["answer"].alias("answer")
         ),
     )
+    return F.slice(numbered, F.lit(1), F.size(items))
 
 
 def normalize_options(options: Column) -> Column:

@@ -130,56 +130,95 @@ class RecordRule:
     result: Callable[[Column], Column]
 
 
-def apply_rules(
-    eav: DataFrame, rules: Sequence[RecordRule], order_by: Sequence[str] | None = None
+def record_facts(
+    eav: DataFrame,
+    rules: Sequence[RecordRule],
+    order_by: Sequence[str] | None = None,
+    id_field: str | None = None,
+    flag: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Apply rules that set one field of a record from another field of it.
+    """One row per record with what the rules (and the ID, and the flag) need of it.
 
-    All rules share one map-side-combined aggregate (a row per record) and one join: existing
-    target rows are overwritten, and a record without the target gets a row whose other
-    columns are null.
+    A single aggregate with a map-side part: a record with very many rows is reduced before
+    the shuffle. Only rows of `fact_fields` matter, so a caller may filter to those first.
+    With a flag (field, code), records without it are left out.
     """
     order = row_order(eav, order_by)
-    involved = {name for rule in rules for name in (rule.target, rule.source)}
-    facts = eav.where(F.col(FIELD).isin(*involved)).groupBy(F.col(RECORD).alias("_record"))
-    facts = facts.agg(
-        *[
-            column
-            for i, rule in enumerate(rules)
-            for column in (
-                F.max_by(VALUE, F.when(F.col(FIELD) == rule.source, order)).alias(f"_source{i}"),
-                F.bool_or(F.col(FIELD) == rule.target).alias(f"_held{i}"),
-            )
-        ]
-    )
-    results = [rule.result(F.col(f"_source{i}")).alias(f"_new{i}") for i, rule in enumerate(rules)]
-    facts = facts.select("_record", *results, *[f"_held{i}" for i in range(len(rules))])
-    facts = facts.where(F.coalesce(*[f"_new{i}" for i in range(len(rules))]).isNotNull())
 
-    value = F.col(VALUE)
+    def last(field: str) -> Column:
+        return F.max_by(VALUE, F.when(F.col(FIELD) == field, order))
+
+    wanted = eav.where(F.col(FIELD).isin(*fact_fields(rules, id_field, flag)))
+    columns = [last(rule.source).alias(f"_source{i}") for i, rule in enumerate(rules)]
+    columns += [F.bool_or(F.col(FIELD) == r.target).alias(f"_held{i}") for i, r in enumerate(rules)]
+    if id_field:
+        columns.append(last(id_field).alias("_id"))
+    if flag:
+        columns.append(F.bool_or((F.col(FIELD) == flag[0]) & (F.col(VALUE) == flag[1])).alias("_flag"))
+    facts = wanted.groupBy(F.col(RECORD).alias("_record")).agg(*columns)
+    if flag:
+        facts = facts.where("_flag")
+    news = [rule.result(F.col(f"_source{i}")).alias(f"_new{i}") for i, rule in enumerate(rules)]
+    held = [f"_held{i}" for i in range(len(rules))]
+    facts = facts.select("_record", *news, *held, *(["_id"] if id_field else []))
+    if flag:
+        return facts
+    useful = [f"_new{i}" for i in range(len(rules))] + (["_id"] if id_field else [])
+    return facts.where(F.coalesce(*useful).isNotNull())
+
+
+def fact_fields(
+    rules: Sequence[RecordRule], id_field: str | None = None, flag: tuple[str, str] | None = None
+) -> list[str]:
+    """Fields that `record_facts` reads."""
+    fields = {name for rule in rules for name in (rule.target, rule.source)}
+    fields |= {id_field} if id_field else set()
+    fields |= {flag[0]} if flag else set()
+    return sorted(fields)
+
+
+def apply_facts(
+    eav: DataFrame, facts: DataFrame, rules: Sequence[RecordRule], how: str = "left"
+) -> DataFrame:
+    """Apply rules, and move rows to the record's ID if the facts hold one, in one join.
+
+    Existing target rows are overwritten; a record without the target gets a row whose other
+    columns are null. With ``how="inner"`` only the records of the facts remain.
+    """
+    record, value = F.col(RECORD), F.col(VALUE)
+    moved = "_id" in facts.columns
     for i, rule in enumerate(rules):
         hit = (F.col(FIELD) == rule.target) & F.col(f"_new{i}").isNotNull()
         value = F.when(hit, F.col(f"_new{i}")).otherwise(value)
+    if moved:
+        record = F.coalesce("_id", record)
+        value = F.when(F.col(FIELD) == "record_id", record).otherwise(value)
     updated = (
-        eav.join(facts, eav[RECORD] == facts["_record"], "left")
-        .withColumn(VALUE, value)
+        eav.join(facts, eav[RECORD] == facts["_record"], how)
+        .withColumns({RECORD: record, VALUE: value})
         .select(*eav.columns)
     )
-    missing = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(f"_new{i}").isNotNull() & ~F.col(f"_held{i}"),
-                    F.struct(F.lit(rule.target).alias(FIELD), F.col(f"_new{i}").alias(VALUE)),
-                )
-                for i, rule in enumerate(rules)
-            ]
+    missing = [
+        F.when(
+            F.col(f"_new{i}").isNotNull() & ~F.col(f"_held{i}"),
+            F.struct(F.lit(rule.target).alias(FIELD), F.col(f"_new{i}").alias(VALUE)),
         )
+        for i, rule in enumerate(rules)
+    ]
+    owner = F.coalesce("_id", "_record") if moved else F.col("_record")
+    appended = facts.select(
+        owner.alias(RECORD), F.explode(F.array_compact(F.array(*missing))).alias("m")
     )
-    appended = facts.select(F.col("_record").alias(RECORD), F.explode(missing).alias("m"))
     return updated.unionByName(appended.select(RECORD, "m.*"), allowMissingColumns=True)
 
 
+def apply_rules(
+    eav: DataFrame, rules: Sequence[RecordRule], order_by: Sequence[str] | None = None
+) -> DataFrame:
+    """Apply rules that set one field of a record from another field of it."""
+    return apply_facts(eav, record_facts(eav, rules, order_by), rules)
+
+
 def mapped_rule(target: str, source: str, codes: Mapping[str, str]) -> RecordRule:
     """Rule that maps source codes to target codes; codes not listed change nothing."""
     return RecordRule(target, source, CodeList(source, codes).encode)

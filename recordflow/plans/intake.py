@@ -7,9 +7,17 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from recordflow.operators.codes import RecordRule, age_rule, apply_rules, decrement_code, mapped_rule
+from recordflow.operators.codes import (
+    RecordRule,
+    age_rule,
+    apply_facts,
+    decrement_code,
+    fact_fields,
+    mapped_rule,
+    record_facts,
+)
 from recordflow.operators.dedup import latest_instance
-from recordflow.operators.keys import back_map, back_map_check, lookup, remap_to_field
+from recordflow.operators.keys import back_map, back_map_check, lookup
 from recordflow.operators.select import CodeList, flagged_records, keep_prefixes, rename_fields
 from recordflow.operators.upsert import status_rows
 from recordflow.plans import fixed_values as fixed
@@ -39,15 +47,44 @@ def format_records(
     prefixes: Sequence[str] = fixed.INTAKE_PREFIXES,
     id_field: str = "mrn",
     decremented: str = "permission_collab",
+    ready: CodeList | None = None,
     order_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rename, apply the rules, keep wanted fields, move to the record's ID, latest instance."""
-    named = rename_fields(eav, renames)
-    ruled = apply_rules(named, rules, order_by)
-    moved = remap_to_field(keep_prefixes(ruled, prefixes), id_field, order_by)
+    """Rename, apply the rules, keep wanted fields, move to the record's ID, latest instance.
+
+    Flag, rules and ID are read from the table in one aggregate and applied in one join,
+    rather than in a join each, which would scan the table again for every one of them.
+    """
+    flag = (ready.field, ready["Ready to send"]) if ready else None
+    fields = fact_fields(rules, id_field, flag)
+    facts = record_facts(
+        rename_fields(eav.where(F.col(FIELD).isin(*before_rename(fields, renames))), renames),
+        rules,
+        order_by,
+        id_field,
+        flag,
+    )
+    wanted = keep_prefixes(
+        rename_fields(may_have_prefix(eav, renames, prefixes), renames), prefixes
+    )
+    targets = [r for r in rules if r.target.startswith(tuple(prefixes))]
+    if len(targets) != len(rules):
+        raise ValueError("a rule sets a field that is not taken over")
+    moved = apply_facts(wanted, facts, rules, "inner" if flag else "left")
     return decrement_code(latest_instance(moved, order_by), decremented)
 
 
+def before_rename(fields: Sequence[str], renames: Mapping[str, str]) -> list[str]:
+    """The fields and all names that are renamed to one of them."""
+    return sorted({*fields, *(old for old, new in renames.items() if new in fields)})
+
+
+def may_have_prefix(eav: DataFrame, renames: Mapping[str, str], prefixes: Sequence[str]) -> DataFrame:
+    """Rows that may have a wanted prefix once renamed: a filter on stored names, for the scan."""
+    renamed = [old for old, new in renames.items() if new.startswith(tuple(prefixes))]
+    return keep_prefixes(eav, [*prefixes, *renamed])
+
+
 def ready_records(eav: DataFrame, flag: CodeList = fixed.INTAKE_READY) -> DataFrame:
     """Rows of the records marked ready."""
     return flagged_records(eav, flag, "Ready to send")
