@@ -135,7 +135,8 @@ def run_results(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT count(DISTINCT CASE WHEN event_type IN ('view', 'click') THEN event_type END) AS instruments,
+SELECT string_agg(DISTINCT event_type, ',' ORDER BY event_type) FILTER (event_type IN ('view', 'click')) AS names,
+       count(DISTINCT CASE WHEN event_type IN ('view', 'click') THEN event_type END) AS instruments,
        count(DISTINCT user_id) AS records FROM events
 """)
 def tracking_report(spark: SparkSession, sf: str) -> DataFrame:

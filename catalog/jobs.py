@@ -244,7 +244,10 @@ def job_tracking_unknown(spark: SparkSession, sf: str) -> DataFrame:
     return _marks(spark, sf)[1]
 
 
-@query(f"SELECT count(DISTINCT field_name) AS instruments, count(DISTINCT record) AS records FROM ({MARKS})")
+@query(f"""
+SELECT string_agg(DISTINCT replace(field_name, '_received', ''), ',' ORDER BY replace(field_name, '_received', '')) AS names,
+       count(DISTINCT field_name) AS instruments, count(DISTINCT record) AS records FROM ({MARKS})
+""")
 def job_tracking_report(spark: SparkSession, sf: str) -> DataFrame:
     return _marks(spark, sf)[2]
 

@@ -70,7 +70,8 @@ def instrument_scan(spark: SparkSession, sf: str) -> DataFrame:
 def fan_out(spark: SparkSession, sf: str) -> DataFrame:
     base = shared_dir(spark, "targets")
     targets = {"intake": f"{base}/intake", "app": f"{base}/app"}
-    sink.fan_out(orders_flat(spark, sf), targets)
+    sink.fan_out(orders_flat(spark, sf).where("status <> 'P'"), targets)
+    sink.fan_out(orders_flat(spark, sf).where("status = 'P'"), targets)
     counts = [
         spark.read.parquet(path).groupBy("status").agg(F.count("*").alias(name)) for name, path in targets.items()
     ]

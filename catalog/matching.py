@@ -124,6 +124,26 @@ def form_event_last(spark: SparkSession, sf: str) -> DataFrame:
     return keys.event_of_form(_form_events(spark, sf), "last", ["event_id"])
 
 
+@query(f"""
+WITH forms AS (SELECT CASE field_name WHEN 'view' THEN 'ra_alerts_parent' WHEN 'click' THEN 'other' ELSE field_name END AS form,
+                      redcap_event_name, event_id FROM ({EVENT_EAV})),
+     f AS (SELECT arg_min(redcap_event_name, event_id) AS e FROM forms WHERE form = 'ra_alerts_parent')
+SELECT p_partkey, CASE WHEN p_size < 20 THEN 'scale_p' ELSE p_type END AS instrument,
+       CASE WHEN p_size < 20 THEN (SELECT e FROM f) ELSE 'admin_arm_1' END AS redcap_event_name FROM part
+""")
+def alert_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Parent forms have an event, child forms fall back to the default."""
+    form = (
+        F.when(F.col("field_name") == "view", "ra_alerts_parent").when(F.col("field_name") == "click", "other")
+        .otherwise(F.col("field_name"))
+    )
+    forms = event_eav(spark, sf).select(form.alias("form"), F.col("redcap_event_name").alias("unique_event_name"), "event_id")
+    instruments = table(spark, sf, "part").select(
+        "p_partkey", F.when(F.col("p_size") < 20, "scale_p").otherwise(F.col("p_type")).alias("instrument")
+    )
+    return keys.alert_events(instruments, keys.event_of_form(forms, "first", ["event_id"]))
+
+
 def _splits(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Customers against the customers that have orders, under the number of their last order."""
     incoming = table(spark, sf, "customer").select(

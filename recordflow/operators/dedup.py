@@ -7,8 +7,9 @@ the order is the one over all columns.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from recordflow.schemas import EVENT, FIELD, INSTANCE, INSTRUMENT, RECORD, VALUE
 
@@ -150,9 +151,11 @@ def run_results(outcomes: DataFrame) -> DataFrame:
 
 
 def tracking_report(eav: DataFrame, suffix: str = "_received") -> DataFrame:
-    """Distinct instruments marked and distinct records."""
-    instrument = F.when(F.col(FIELD).endswith(suffix), F.col(FIELD))
+    """Instruments marked (as many as the dictionary has forms) and distinct records."""
+    name = F.substring(F.col(FIELD), F.lit(1), F.length(FIELD) - len(suffix))
+    instrument = F.when(F.col(FIELD).endswith(suffix), name)
     return eav.agg(
+        F.array_join(F.array_sort(F.collect_set(instrument)), ",").alias("names"),
         F.count_distinct(instrument).alias("instruments"),
         F.count_distinct(RECORD).alias("records"),
     )
@@ -194,55 +197,88 @@ def latest_instance(eav: DataFrame, order_by: Sequence[str] | None = None) -> Da
     return single.unionByName(newest).drop(INSTRUMENT, INSTANCE)
 
 
+SAMPLES_PER_CHUNK = 20
+MAX_CHUNKS = 1024
+
+
 def running_number(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], name: str = "number"
 ) -> DataFrame:
     """Number the rows of every key from 1 in order, also where one key holds most rows.
 
-    Rows are cut into ordered chunks by boundaries from a bounded sample. Each chunk of a key
-    is numbered on its own, then shifted by the sizes of the key's earlier chunks. The
-    boundaries only balance the work; the numbers do not depend on them.
+    A bounded sample shows which keys are too large for one task. The rows of those (all rows,
+    without keys) are cut into ordered chunks at sampled boundaries; a chunk is numbered on
+    its own and shifted by the sizes of the key's earlier chunks. The sample only spreads the
+    work, the numbers do not depend on it.
     """
     spark = df.sparkSession
-    chunks = min(512, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    chunks = min(MAX_CHUNKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     sort_key = F.struct(*[F.col(f"`{c}`") for c in (*keys, *order_by)])
     sample = (
-        df.select(sort_key.alias("k")).orderBy(F.rand()).limit(20 * chunks).orderBy("k").collect()
-    )
-    step = max(1, len(sample) // chunks)
-    bounds = [row.k for row in sample[step::step]]
-    kind = df.select(sort_key.alias("k")).schema["k"].dataType
-
-    def chunk_of(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        bound = F.struct(
-            *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(bounds[middle], kind.fields)]
-        )
-        return F.when(sort_key < bound, chunk_of(low, middle)).otherwise(chunk_of(middle + 1, high))
-
-    chunked = df.withColumn("_chunk", chunk_of(0, len(bounds)))
-    local = F.row_number().over(
-        Window.partitionBy(*keys, "_chunk").orderBy(*[F.col(c).asc() for c in order_by])
+        df.select(sort_key.alias("k"))
+        .orderBy(F.rand())
+        .limit(SAMPLES_PER_CHUNK * chunks)
+        .orderBy("k")
+        .collect()
     )
-    sizes = chunked.groupBy(*keys, "_chunk").agg(F.count("*").alias("_size"))
-    # At most `chunks` rows per key.
+    by_key: dict[tuple, list[tuple]] = {}
+    for row in sample:
+        by_key.setdefault(tuple(row.k)[: len(keys)], []).append(tuple(row.k))
+    hot = {k: rows for k, rows in by_key.items() if len(rows) > SAMPLES_PER_CHUNK}
+    order = [F.col(f"`{c}`").asc() for c in order_by]
+    if keys and not hot:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+
+    bounds = [rows[i] for rows in hot.values() for i in range(SAMPLES_PER_CHUNK, len(rows), SAMPLES_PER_CHUNK)]
+    is_hot = F.lit(not keys)
+    for key in hot if keys else ():
+        same = [F.col(f"`{c}`").eqNullSafe(F.lit(v)) for c, v in zip(keys, key)]
+        is_hot = is_hot | reduce(Column.__and__, same)
+    kinds = df.select(sort_key.alias("k")).schema["k"].dataType.fields
+    chunk = F.when(is_hot, _chunk_number(sort_key, bounds, kinds)).otherwise(0)
+    chunked = df.withColumn("_chunk", chunk)
+    local = F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(*order))
+    sizes = chunked.where(is_hot).groupBy(*keys, "_chunk").agg(F.count("*").alias("_size"))
+    # One row per hot key and chunk, so no more than twice the number of chunks.
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col("_chunk").alias("_c"),
         F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"),
     )
     numbered = chunked.withColumn("_local", local)
     on = numbered["_chunk"] == offsets["_c"]
     for i, key in enumerate(keys):
-        on = on & numbered[key].eqNullSafe(offsets[f"_k{i}"])
-    return numbered.join(offsets, on).select(
-        *[F.col(f"`{c}`") for c in df.columns], (F.col("_local") + F.col("_offset")).alias(name)
+        on = on & numbered[f"`{key}`"].eqNullSafe(offsets[f"_k{i}"])
+    shifted = F.col("_local") + F.coalesce("_offset", F.lit(0))
+    return numbered.join(F.broadcast(offsets), on, "left").select(
+        *[F.col(f"`{c}`") for c in df.columns], shifted.cast("long").alias(name)
     )
 
 
+def _chunk_number(sort_key: Column, bounds: list[tuple], kinds: Sequence[T.StructField]) -> Column:
+    """How many of the sorted boundaries are not above the row (binary search)."""
+    if not bounds:
+        return F.lit(0)
+    literals = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(bound, kinds)])
+        for bound in bounds
+    ]
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.shiftright(state["low"] + state["high"], 1)
+        below = sort_key < F.get(F.array(*literals), middle)
+        return (
+            F.when(state["low"] >= state["high"], state)
+            .when(below, F.struct(state["low"].alias("low"), middle.alias("high")))
+            .otherwise(F.struct((middle + 1).alias("low"), state["high"].alias("high")))
+        )
+
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(literals)).alias("high"))
+    steps = F.sequence(F.lit(1), F.lit(len(literals).bit_length()))
+    return F.aggregate(steps, start, halve, lambda state: state["low"])
+
+
 def next_instance(
     participants: DataFrame,
     existing: DataFrame | None,

@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordflow.functions.text import strip_complete
-from recordflow.operators.dedup import keep_one, row_order
+from recordflow.operators.codes import alert_form
+from recordflow.operators.dedup import row_order
 from recordflow.operators.select import fields_with_suffix
 from recordflow.schemas import EVENT, FIELD, RECORD, VALUE
 
@@ -100,6 +101,18 @@ def event_of_form(
     ).select(F.col("key").alias("form"), F.col("value").alias("unique_event_name"))
 
 
+def alert_events(
+    instruments: DataFrame, form_events: DataFrame, default: str = "admin_arm_1"
+) -> DataFrame:
+    """Event of each instrument's alert flag: that of its alert form, else the default.
+
+    `form_events` has one event per form (see `event_of_form`).
+    """
+    forms = form_events.select(F.col("form").alias("_form"), F.col("unique_event_name").alias("_event"))
+    joined = instruments.join(forms, alert_form(F.col("instrument")) == F.col("_form"), "left")
+    return joined.withColumn(EVENT, F.coalesce("_event", F.lit(default))).drop("_form", "_event")
+
+
 # ---------------------------------------------------------------- splits
 
 
@@ -274,7 +287,3 @@ def answered_only(
     joined = invitations.join(answers, key)
     return joined.unionByName(invitations.where(nobody), allowMissingColumns=True)
 
-
-def one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
-    """Last row per key (alias used by the upserts)."""
-    return keep_one(df, keys, order_by, keep="last")

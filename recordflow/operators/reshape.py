@@ -18,17 +18,15 @@ def eav_to_wide(
     keys: Sequence[str] = (RECORD,),
     order_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per key, one column per listed field, the first value of each cell.
+    """One row per key, one column per listed field, the first non-null value of each cell.
 
-    The field list is explicit, so no job is needed to find the columns; every aggregate has
-    a map-side part, so a key with very many rows is reduced before the shuffle.
+    The field list is explicit, so no job is needed to find the columns. Cells are chosen
+    first, with a map-side part, and only then gathered by key, so a key with very many rows
+    never reaches one task.
     """
-    order = row_order(eav, order_by)
-    cells = [
-        F.min_by(VALUE, F.when((F.col(FIELD) == f) & F.col(VALUE).isNotNull(), order)).alias(f)
-        for f in fields
-    ]
-    return eav.where(F.col(FIELD).isin(*fields)).groupBy(*keys).agg(*cells)
+    cells = eav.where(F.col(FIELD).isin(*fields) & F.col(VALUE).isNotNull())
+    first = F.min_by(VALUE, row_order(eav, order_by))
+    return cells.groupBy(*keys).pivot(FIELD, list(fields)).agg(first)
 
 
 def wide_to_eav(

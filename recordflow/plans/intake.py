@@ -64,9 +64,7 @@ def format_records(
         id_field,
         flag,
     )
-    wanted = keep_prefixes(
-        rename_fields(may_have_prefix(eav, renames, prefixes), renames), prefixes
-    )
+    wanted = keep_prefixes(rename_fields(eav, renames), prefixes)
     targets = [r for r in rules if r.target.startswith(tuple(prefixes))]
     if len(targets) != len(rules):
         raise ValueError("a rule sets a field that is not taken over")
@@ -79,12 +77,6 @@ def before_rename(fields: Sequence[str], renames: Mapping[str, str]) -> list[str
     return sorted({*fields, *(old for old, new in renames.items() if new in fields)})
 
 
-def may_have_prefix(eav: DataFrame, renames: Mapping[str, str], prefixes: Sequence[str]) -> DataFrame:
-    """Rows that may have a wanted prefix once renamed: a filter on stored names, for the scan."""
-    renamed = [old for old, new in renames.items() if new.startswith(tuple(prefixes))]
-    return keep_prefixes(eav, [*prefixes, *renamed])
-
-
 def ready_records(eav: DataFrame, flag: CodeList = fixed.INTAKE_READY) -> DataFrame:
     """Rows of the records marked ready."""
     return flagged_records(eav, flag, "Ready to send")

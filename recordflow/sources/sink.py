@@ -13,19 +13,20 @@ class CountMismatch(RuntimeError):
 
 
 def fan_out(df: DataFrame, targets: Mapping[str, str]) -> int:
-    """Write one result to several Parquet targets and return its row count.
+    """Push one result to several Parquet targets and return its row count.
 
-    The result is computed once, for the first target; the others are copied from there, so a
-    lost executor cannot make them differ. The counts come from the Parquet footers.
+    Every push is a new folder in each target. The result is computed once, for the first
+    target; the others are copied from there, so a lost executor cannot make them differ. The
+    counts come from the Parquet footers.
     """
-    spark = df.sparkSession
+    spark, push = df.sparkSession, f"push={uuid.uuid4().hex}"
     (first, path), *rest = targets.items()
-    df.write.mode("append").parquet(path)
-    written = spark.read.parquet(path)
+    df.write.parquet(f"{path}/{push}")
+    written = spark.read.parquet(f"{path}/{push}")
     expected = written.count()
     for name, other in rest:
-        written.write.mode("append").parquet(other)
-        found = spark.read.parquet(other).count()
+        written.write.parquet(f"{other}/{push}")
+        found = spark.read.parquet(f"{other}/{push}").count()
         if found != expected:
             raise CountMismatch(f"{first}: {expected} rows, {name}: {found} rows")
     return expected
