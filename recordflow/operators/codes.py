@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from recordflow.functions.dates import age_years
 from recordflow.functions.text import strip_zeros
-from recordflow.operators.dedup import row_order
+from recordflow.operators.dedup import first_of, last_of
 from recordflow.operators.select import CodeList, Range
 from recordflow.schemas import EVENT, FIELD, RECORD, VALUE
 
@@ -70,17 +70,18 @@ def remap_responses(
     decide whether they are option values or scores: values if all are (or, failing both, if
     any is), else scores.
     """
-    order = row_order(responses, order_by)
+    choices = radio_choices(dictionary)
+    coded = responses.join(choices.select(FIELD).distinct(), FIELD, "left_semi")
     first_options = (
-        responses.where(F.col("options").isNotNull())
+        coded.where(F.col("options").isNotNull())
         .groupBy(FIELD)
-        .agg(F.min_by("options", order).alias("options"))
+        .agg(first_of("options", order_by).alias("options"))
     )
     options = first_options.select(
         FIELD, F.posexplode(F.from_json("options", OPTIONS_SCHEMA)).alias("position", "o")
     ).select(FIELD, "position", F.trim("o.name").alias("label"), "o.value", "o.score")
 
-    raw = responses.select(FIELD, VALUE).dropna().distinct()
+    raw = coded.select(FIELD, VALUE).dropna().distinct()
     values = options.select(FIELD, VALUE).distinct().withColumn("_is_value", F.lit(True))
     scores = options.select(FIELD, F.col("score").alias(VALUE)).dropna().distinct()
     scores = scores.withColumn("_is_score", F.lit(True))
@@ -108,7 +109,7 @@ def remap_responses(
     mapping = (
         options.join(source, FIELD)
         .select(FIELD, "label", "position", held.alias("_from"))
-        .join(radio_choices(dictionary), [FIELD, "label"])
+        .join(choices, [FIELD, "label"])
         .where((F.col("code") != "") & (F.col("_from") != ""))
         .groupBy(F.col(FIELD).alias("_field"), "_from")
         .agg(F.max_by("code", "position").alias("_code"))
@@ -143,10 +144,9 @@ def record_facts(
     the shuffle. Only rows of `fact_fields` matter, so a caller may filter to those first.
     With a flag (field, code), records without it are left out.
     """
-    order = row_order(eav, order_by)
 
     def last(field: str) -> Column:
-        return F.max_by(VALUE, F.when(F.col(FIELD) == field, order))
+        return last_of(VALUE, order_by, F.col(FIELD) == field)
 
     wanted = eav.where(F.col(FIELD).isin(*fact_fields(rules, id_field, flag)))
     columns = [last(rule.source).alias(f"_source{i}") for i, rule in enumerate(rules)]

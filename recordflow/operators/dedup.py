@@ -1,7 +1,8 @@
 """First/last choices, content hashes, instances, numbering, set operations.
 
-A table has no row order, so whatever picks a first or last row takes ``order_by``; without it
-the order is the one over all columns.
+A table has no row order, so whatever picks a first or last row takes ``order_by``. Without it
+the smallest value is the first and the largest the last, which needs no sort columns in the
+shuffle; `keep_one`, which picks whole rows, orders by all columns.
 """
 
 from __future__ import annotations
@@ -14,9 +15,27 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from recordflow.schemas import EVENT, FIELD, INSTANCE, INSTRUMENT, RECORD, VALUE
 
 
-def row_order(df: DataFrame, order_by: Sequence[str] | None = None) -> Column:
-    """Sort key of a row: the given columns, or all of them."""
-    return F.struct(*[F.col(f"`{c}`") for c in (order_by or df.columns)])
+def row_order(columns: Sequence[str]) -> Column:
+    """Sort key of a row."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns])
+
+
+def first_of(value: str | Column, order_by: Sequence[str] | None, among: Column | None = None) -> Column:
+    """Aggregate: the first value in order, of all rows or of those where `among` holds."""
+    return _pick(F.min, F.min_by, value, order_by, among)
+
+
+def last_of(value: str | Column, order_by: Sequence[str] | None, among: Column | None = None) -> Column:
+    """Aggregate: the last value in order, of all rows or of those where `among` holds."""
+    return _pick(F.max, F.max_by, value, order_by, among)
+
+
+def _pick(plain, by, value, order_by, among) -> Column:
+    value = F.col(value) if isinstance(value, str) else value
+    if not order_by:
+        return plain(value if among is None else F.when(among, value))
+    order = row_order(order_by)
+    return by(value, order if among is None else F.when(among, order))
 
 
 def keep_one(
@@ -38,12 +57,8 @@ def keep_one(
 
 def first_value(eav: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """First non-null value per record and field."""
-    order = row_order(eav, order_by)
-    return (
-        eav.where(F.col(VALUE).isNotNull())
-        .groupBy(RECORD, FIELD)
-        .agg(F.min_by(VALUE, order).alias(VALUE))
-    )
+    held = eav.where(F.col(VALUE).isNotNull())
+    return held.groupBy(RECORD, FIELD).agg(first_of(VALUE, order_by).alias(VALUE))
 
 
 # ---------------------------------------------------------------- content hashes
@@ -66,7 +81,7 @@ def changed_rows(
     """Incoming rows that are new or differ from the existing row of the same key.
 
     The existing side is cast to the incoming types first; of several existing rows with one
-    key the last in order counts.
+    key the last in order counts (without an order, one of them).
     """
     columns = sorted(columns or [c for c in incoming.columns if c not in keys])
     types = {f.name: f.dataType for f in incoming.schema.fields}
@@ -81,10 +96,10 @@ def changed_rows(
                 ],
             )
         ).alias("_known"),
-        row_order(existing, order_by).alias("_order"),
+        *[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order_by or ())],
     )
     known = known.groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(
-        F.max_by("_known", "_order").alias("_known")
+        last_of("_known", [f"_o{i}" for i in range(len(order_by or ()))]).alias("_known")
     )
     hashed = incoming.withColumn("_hash", F.md5(row_text(columns)))
     same = hashed["_hash"] == known["_known"]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from recordflow.functions.text import strip_complete
 from recordflow.operators.codes import alert_form
-from recordflow.operators.dedup import row_order
+from recordflow.operators.dedup import first_of, last_of
 from recordflow.operators.select import fields_with_suffix
 from recordflow.schemas import EVENT, FIELD, RECORD, VALUE
 
@@ -20,13 +20,14 @@ def lookup(
     df: DataFrame, key: Column, value: Column, order_by: Sequence[str] | None = None, keep: str = "last"
 ) -> DataFrame:
     """Map with one ``value`` per ``key``; of several the last (or first) in order wins."""
-    pick = F.max_by if keep == "last" else F.min_by
-    return (
-        df.select(key.alias("key"), value.alias("value"), row_order(df, order_by).alias("_o"))
-        .where(F.col("key").isNotNull())
-        .groupBy("key")
-        .agg(pick("value", "_o").alias("value"))
+    pick = last_of if keep == "last" else first_of
+    order = [f"_o{i}" for i in range(len(order_by or ()))]
+    pairs = df.select(
+        key.alias("key"),
+        value.alias("value"),
+        *[F.col(f"`{c}`").alias(o) for c, o in zip(order_by or (), order)],
     )
+    return pairs.where(F.col("key").isNotNull()).groupBy("key").agg(pick("value", order).alias("value"))
 
 
 def remap_to_field(
@@ -226,7 +227,7 @@ def write_back(
     done = eav.where(F.col(FIELD) == id_field).join(ids, F.col(VALUE) == F.col("_id"), "left_semi")
     event = (
         eav.where((F.col(FIELD) == status_field) & F.col(EVENT).isNotNull())
-        .agg(F.max_by(EVENT, row_order(eav, order_by)))
+        .agg(last_of(EVENT, order_by))
         .scalar()
     )
     return (

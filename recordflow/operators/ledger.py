@@ -17,6 +17,7 @@ from recordflow.operators.dedup import table_hash
 from recordflow.schemas import LEDGER_SCHEMA
 
 REMOVED = "removed"
+BATCH = "batch"
 
 
 def entries(
@@ -43,9 +44,13 @@ def current(log: DataFrame) -> DataFrame:
 
 
 def live(log: DataFrame, as_of: datetime | str, ttl_minutes: int = 60) -> DataFrame:
-    """Entries not older than the time to live."""
+    """Entries not older than the time to live.
+
+    The time is tested before the latest entry is chosen, which gives the same rows and lets
+    the scan skip files written before.
+    """
     oldest = as_timestamp(as_of) - F.make_dt_interval(mins=F.lit(ttl_minutes))
-    return current(log).where(F.col("processed_at") >= oldest)
+    return current(log.where(F.col("processed_at") >= oldest))
 
 
 def unprocessed(
@@ -80,12 +85,11 @@ def with_built_key(
     Only for rules that columns cannot express; plain keys use ``with_composite_key``.
     """
 
+    @F.pandas_udf("string")
     def build(*parts: pd.Series) -> pd.Series:
         return pd.Series([builder(*row) for row in zip(*parts)], dtype="object")
 
-    # pandas_udf reads the type hints of a fixed signature, so give the type explicitly.
-    udf = F.pandas_udf(build, "string", F.PandasUDFType.SCALAR)
-    return df.withColumn(name, udf(*[F.col(c) for c in columns]))
+    return df.withColumn(name, build(*[F.col(c) for c in columns]))
 
 
 def unchanged_groups(
@@ -170,9 +174,18 @@ class Ledger:
         """Entries that still count."""
         return live(self.log(), as_of, self.ttl_minutes)
 
-    def unprocessed(self, df: DataFrame, as_of: datetime | str, key: str = "cache_key") -> DataFrame:
-        """Rows whose key does not count as processed."""
-        return unprocessed(df, self.log(), self.name, as_of, self.ttl_minutes, key)
+    def unprocessed(
+        self, df: DataFrame, as_of: datetime | str, key: str = "cache_key", batch: str | None = None
+    ) -> DataFrame:
+        """Rows whose key does not count as processed.
+
+        Entries marked by `batch` itself do not count, so that a batch repeated after a failure
+        gives the same rows again.
+        """
+        log = self.log()
+        if batch is not None:
+            log = log.where(~F.try_element_at("metadata", F.lit(BATCH)).eqNullSafe(F.lit(batch)))
+        return unprocessed(df, log, self.name, as_of, self.ttl_minutes, key)
 
     def stats(self, as_of: datetime | str) -> DataFrame:
         """Entries, oldest and newest time."""

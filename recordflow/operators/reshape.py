@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recordflow.operators.dedup import row_order
+from recordflow.operators.dedup import first_of
 from recordflow.operators.select import _name, rename_fields
 from recordflow.schemas import FIELD, FLAT_KEYS, RECORD, VALUE
 
@@ -25,8 +25,7 @@ def eav_to_wide(
     never reaches one task.
     """
     cells = eav.where(F.col(FIELD).isin(*fields) & F.col(VALUE).isNotNull())
-    first = F.min_by(VALUE, row_order(eav, order_by))
-    return cells.groupBy(*keys).pivot(FIELD, list(fields)).agg(first)
+    return cells.groupBy(*keys).pivot(FIELD, list(fields)).agg(first_of(VALUE, order_by))
 
 
 def wide_to_eav(

@@ -34,8 +34,13 @@ def flat_upsert(
 
     Both sides are first reduced to the last row of each key, so no key can be hot in the join.
     """
-    new = keep_one(source, keys, order_by, keep="last")
-    old = keep_one(target, keys, [c for c in order_by if c in target.columns] if order_by else None, keep="last")
+
+    def last_per_key(df: DataFrame) -> DataFrame:
+        # Null keys become a text, so that one partitioning serves the choice and the join.
+        texts = {f"_k{i}": F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("␀")) for i, k in enumerate(keys)}
+        order = [c for c in order_by if c in df.columns] if order_by else df.columns
+        return keep_one(df.withColumns(texts), list(texts), order, keep="last")
+
     columns = [*target.columns, *[c for c in source.columns if c not in target.columns]]
     kinds = {f.name: f.dataType for f in (*source.schema.fields, *target.schema.fields)}
 
@@ -50,8 +55,9 @@ def flat_upsert(
             parts.append(F.col(f"t.`{name}`"))
         return F.coalesce(*parts).alias(name)
 
-    on = [F.col(f"s.`{k}`").eqNullSafe(F.col(f"t.`{k}`")) for k in keys]
-    return new.alias("s").join(old.alias("t"), on, "full").select([cell(c) for c in columns])
+    new, old = last_per_key(source).alias("s"), last_per_key(target).alias("t")
+    on = [f"_k{i}" for i in range(len(keys))]
+    return new.join(old, on, "full").select([cell(c) for c in columns])
 
 
 def auto_number(

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from recordflow.functions.nested import camel_case
 from recordflow.functions.text import sanitize
-from recordflow.operators.ledger import Ledger
+from recordflow.operators.ledger import BATCH, Ledger
 from recordflow.plans.alerts import coded_alerts, parsed_alerts
 from recordflow.schemas import ALERT_SCHEMA, RECORD, TRIGGER_SCHEMA
 
@@ -86,22 +86,22 @@ def alert_handler(
     context: DataFrame,
     out: str,
     ledger: Ledger | None = None,
-    clock: Callable[[], datetime] = datetime.utcnow,
+    clock: Callable[[], datetime] = lambda: datetime.now(UTC),
 ) -> Callable[[DataFrame, int], None]:
     """Handler that codes the alerts of a batch and writes the rows to push.
 
-    With a ledger, alerts seen within its time to live are left out; a batch repeated after a
-    failure sees its own entries only if its output was already written.
+    With a ledger, alerts seen within its time to live are left out. Entries name the batch
+    that made them, so a batch repeated after a failure does not take its own for another's.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
         if ledger is None:
             write_batch(coded_alerts(parsed_alerts(batch), dictionary, context), out, number)
             return
-        now = clock()
-        fresh = ledger.unprocessed(batch, now)
+        now, name = clock(), f"{out}#{number}"
+        fresh = ledger.unprocessed(batch, now, batch=name)
         write_batch(coded_alerts(parsed_alerts(fresh), dictionary, context), out, number)
-        ledger.mark(batch.select("cache_key"), now)
+        ledger.mark(batch.select("cache_key"), now, {BATCH: name})
 
     return handle
 
