@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from recordflow.functions.dates import age_years
 from recordflow.functions.text import strip_zeros
 from recordflow.operators.dedup import first_of, last_of
+from recordflow.operators.joins import only_keys, same_key
 from recordflow.operators.select import CodeList, Range
 from recordflow.schemas import EVENT, FIELD, RECORD, VALUE
 
@@ -55,7 +56,7 @@ def label_to_code(eav: DataFrame, choices: DataFrame) -> DataFrame:
     codes = choices.groupBy(F.col(FIELD).alias("_field"), F.col("label").alias("_label")).agg(
         F.max_by("code", "position").alias("_code")
     )
-    on = (F.col(FIELD) == codes["_field"]) & (F.lower(F.trim(VALUE)) == codes["_label"])
+    on = same_key(F.col(FIELD), codes["_field"]) & same_key(F.lower(F.trim(VALUE)), codes["_label"])
     joined = eav.join(codes, on, "left")
     return joined.withColumn(VALUE, F.coalesce("_code", VALUE)).drop("_field", "_label", "_code")
 
@@ -71,7 +72,7 @@ def remap_responses(
     any is), else scores.
     """
     choices = radio_choices(dictionary)
-    coded = responses.join(choices.select(FIELD).distinct(), FIELD, "left_semi")
+    coded = only_keys(responses, F.col(FIELD), choices.select(FIELD))
     first_options = (
         coded.where(F.col("options").isNotNull())
         .groupBy(FIELD)
@@ -114,7 +115,7 @@ def remap_responses(
         .groupBy(F.col(FIELD).alias("_field"), "_from")
         .agg(F.max_by("code", "position").alias("_code"))
     )
-    on = (responses[FIELD] == mapping["_field"]) & (responses[VALUE] == mapping["_from"])
+    on = same_key(responses[FIELD], mapping["_field"]) & same_key(responses[VALUE], mapping["_from"])
     joined = responses.join(mapping, on, "left")
     return joined.withColumn(VALUE, F.coalesce("_code", VALUE)).drop("_field", "_from", "_code")
 
@@ -194,7 +195,7 @@ def apply_facts(
         record = F.coalesce("_id", record)
         value = F.when(F.col(FIELD) == "record_id", record).otherwise(value)
     updated = (
-        eav.join(facts, eav[RECORD] == facts["_record"], how)
+        eav.join(facts, same_key(eav[RECORD], facts["_record"]), how)
         .withColumns({RECORD: record, VALUE: value})
         .select(*eav.columns)
     )

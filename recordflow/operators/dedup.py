@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from recordflow.operators.joins import same_key
 from recordflow.schemas import EVENT, FIELD, INSTANCE, INSTRUMENT, RECORD, VALUE
 
 
@@ -308,7 +309,7 @@ def next_instance(
     highest = existing.groupBy(F.col(key).alias("_key")).agg(F.max(INSTANCE).alias("_highest"))
     numbered = running_number(participants, [key], order_by, "_n")
     return (
-        numbered.join(highest, numbered[key] == highest["_key"], "left")
+        numbered.join(highest, same_key(numbered[key], highest["_key"]), "left")
         .withColumn(INSTANCE, (F.col("_n") + F.coalesce("_highest", F.lit(0))).cast("int"))
         .drop("_key", "_highest", "_n")
     )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from recordflow.functions.text import strip_complete
 from recordflow.operators.codes import alert_form
 from recordflow.operators.dedup import first_of, last_of
+from recordflow.operators.joins import only_keys, same_key
 from recordflow.operators.select import fields_with_suffix
 from recordflow.schemas import EVENT, FIELD, RECORD, VALUE
 
@@ -35,7 +36,8 @@ def remap_to_field(
 ) -> DataFrame:
     """Replace record IDs by the record's value of `field`; records without one keep theirs."""
     ids = lookup(eav.where(F.col(FIELD) == field), F.col(RECORD), F.col(VALUE), order_by)
-    joined = eav.join(ids.withColumnsRenamed({"key": "_key", "value": "_id"}), F.col(RECORD) == F.col("_key"), "left")
+    ids = ids.withColumnsRenamed({"key": "_key", "value": "_id"})
+    joined = eav.join(ids, same_key(F.col(RECORD), F.col("_key")), "left")
     moved = joined.withColumn(RECORD, F.coalesce("_id", RECORD)).drop("_key", "_id")
     return moved.withColumn(VALUE, F.when(F.col(FIELD) == "record_id", F.col(RECORD)).otherwise(F.col(VALUE)))
 
@@ -51,14 +53,14 @@ def map_ids_inner(
     df: DataFrame, ids: DataFrame, column: str = RECORD
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with their mapped ID, and the rows whose ID is unknown."""
-    on = F.trim(F.col(column).cast("string")) == ids["_id"]
+    on = same_key(F.trim(F.col(column).cast("string")), ids["_id"])
     mapped = df.join(ids, on).withColumn(column, F.col("_target")).drop("_id", "_target")
     return mapped, df.join(ids, on, "left_anti")
 
 
 def map_ids_keep(df: DataFrame, ids: DataFrame, column: str = "record_id") -> DataFrame:
     """Rows with their ID mapped where it is known; without any match nothing changes."""
-    joined = df.join(ids, F.col(column).cast("string") == ids["_id"], "left")
+    joined = df.join(ids, same_key(F.col(column).cast("string"), ids["_id"]), "left")
     return joined.withColumn(column, F.coalesce("_target", F.col(column).cast("string"))).drop(
         "_id", "_target"
     )
@@ -78,7 +80,7 @@ def enrich_events(
         context.where(F.col(EVENT).isNotNull()), F.col(FIELD), F.col(EVENT), order_by, keep="first"
     ).withColumnsRenamed({"key": "_field", "value": "_event"})
     default = events.agg(F.min_by("_event", "_field")).scalar()
-    joined = df.drop(EVENT).join(events, F.col(FIELD) == F.col("_field"), "left")
+    joined = df.drop(EVENT).join(events, same_key(F.col(FIELD), F.col("_field")), "left")
     return joined.withColumn(EVENT, F.coalesce("_event", default)).drop("_field", "_event")
 
 
@@ -110,7 +112,8 @@ def alert_events(
     `form_events` has one event per form (see `event_of_form`).
     """
     forms = form_events.select(F.col("form").alias("_form"), F.col("unique_event_name").alias("_event"))
-    joined = instruments.join(forms, alert_form(F.col("instrument")) == F.col("_form"), "left")
+    on = same_key(alert_form(F.col("instrument")), F.col("_form"))
+    joined = instruments.join(forms, on, "left")
     return joined.withColumn(EVENT, F.coalesce("_event", F.lit(default))).drop("_form", "_event")
 
 
@@ -126,10 +129,10 @@ def split_updates(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows to update (with the target's ID), rows to insert, and keys the target has twice."""
     known = lookup(target, F.col(key), F.col(target_id), order_by)
-    on = incoming[key] == known["key"]
+    on = same_key(incoming[key], known["key"])
     update = (
         incoming.drop(target_id)
-        .join(known, F.col(key) == known["key"])
+        .join(known, same_key(F.col(key), known["key"]))
         .withColumn(target_id, F.col("value"))
         .select(*incoming.columns)
     )
@@ -151,9 +154,9 @@ def split_by_email(
 ) -> tuple[DataFrame, DataFrame]:
     """Responders to create, and those to update with their existing record."""
     known = lookup(existing, normal_email(email), F.col(RECORD), order_by)
-    on = normal_email(responders[email]) == known["key"]
+    on = same_key(normal_email(email), F.col("key"))
     create = responders.join(known, on, "left_anti")
-    update = responders.drop(RECORD).join(known, normal_email(email) == F.col("key"))
+    update = responders.drop(RECORD).join(known, on)
     return create, update.withColumn(RECORD, F.col("value")).drop("key", "value")
 
 
@@ -167,7 +170,7 @@ def link_by_email(
     known = lookup(existing, normal_email(email), F.col(RECORD), order_by)
     addressed = participants.where(F.trim(email) != "").drop(RECORD)
     return (
-        addressed.join(known, normal_email(email) == known["key"], "left")
+        addressed.join(known, same_key(normal_email(email), known["key"]), "left")
         .withColumn(RECORD, F.col("value"))
         .drop("key", "value")
     )
@@ -186,8 +189,8 @@ def anti_all_columns(new: DataFrame, existing: DataFrame) -> DataFrame:
 
 def exclude_completed(df: DataFrame, completed: DataFrame, key: str = "record_id") -> DataFrame:
     """Rows of records not completed yet, without any null cell."""
-    done = completed.select(F.col(key).cast("string").alias("_done")).distinct()
-    return df.join(done, df[key].cast("string") == done["_done"], "left_anti").dropna("any")
+    done = completed.select(F.col(key).cast("string"))
+    return only_keys(df, df[key].cast("string"), done, "left_anti").dropna("any")
 
 
 def lookup_by_secondary(
@@ -203,7 +206,7 @@ def lookup_by_secondary(
         context, F.col(secondary).cast("string"), F.col(primary).cast("string"), order_by, keep="first"
     )
     return (
-        df.join(ids, df[secondary].cast("string") == ids["key"])
+        df.join(ids, same_key(df[secondary].cast("string"), ids["key"]))
         .withColumn(column, F.col("value"))
         .drop("key", "value")
     )
@@ -223,8 +226,8 @@ def write_back(
     `sent` and `failed` have one column of IDs. The event is the one the status field has in
     the source; without any there is nothing to write.
     """
-    ids = sent.toDF("_id").distinct().join(failed.toDF("_id").distinct(), "_id", "left_anti")
-    done = eav.where(F.col(FIELD) == id_field).join(ids, F.col(VALUE) == F.col("_id"), "left_semi")
+    ids = only_keys(sent.toDF("_id"), F.col("_id"), failed, "left_anti")
+    done = only_keys(eav.where(F.col(FIELD) == id_field), F.col(VALUE), ids)
     event = (
         eav.where((F.col(FIELD) == status_field) & F.col(EVENT).isNotNull())
         .agg(last_of(EVENT, order_by))
@@ -265,13 +268,14 @@ def tracked_rename(
     eav: DataFrame, dictionary: DataFrame, suffix: str = "_received"
 ) -> tuple[DataFrame, DataFrame]:
     """Rename ``…_complete`` fields to the tracked ``…_received`` ones; the rest is returned apart."""
-    tracked = fields_with_suffix(dictionary, suffix, strip=True).toDF("_tracked")
+    tracked = fields_with_suffix(dictionary, suffix, strip=True)
     named = eav.withColumn("_instrument", strip_complete(F.col(FIELD)))
-    on = F.col("_instrument") == F.col("_tracked")
-    matched = named.join(tracked, on, "left_semi").withColumn(
-        FIELD, F.concat("_instrument", F.lit(suffix))
+    instrument = F.col("_instrument")
+    matched = only_keys(named, instrument, tracked).withColumn(
+        FIELD, F.concat(instrument, F.lit(suffix))
     )
-    return matched.drop("_instrument"), named.join(tracked, on, "left_anti").drop("_instrument")
+    unmatched = only_keys(named, instrument, tracked, "left_anti")
+    return matched.drop("_instrument"), unmatched.drop("_instrument")
 
 
 def answered_only(
@@ -283,8 +287,7 @@ def answered_only(
     """
     if keep_unanswered:
         return invitations.join(answers, key, "left")
-    asked = invitations.select(key).distinct()
-    nobody = ~answers.join(asked, key, "left_semi").limit(1).exists()
+    nobody = ~only_keys(answers, F.col(key), invitations.select(key)).limit(1).exists()
     joined = invitations.join(answers, key)
     return joined.unionByName(invitations.where(nobody), allowMissingColumns=True)
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recordflow.functions.dates import as_timestamp
 from recordflow.operators.dedup import table_hash
+from recordflow.operators.joins import only_keys
 from recordflow.schemas import LEDGER_SCHEMA
 
 REMOVED = "removed"
@@ -61,7 +62,7 @@ def unprocessed(
     done = live(log.where(F.col("ledger") == ledger), as_of, ttl_minutes).select(
         F.col("key").alias("_done")
     )
-    return df.join(done, F.col(key).cast("string") == F.col("_done"), "left_anti")
+    return only_keys(df, F.col(key).cast("string"), done, "left_anti")
 
 
 def stats(log: DataFrame, as_of: datetime | str, ttl_minutes: int = 60) -> DataFrame:

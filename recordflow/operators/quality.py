@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordflow.functions.dates import as_date
+from recordflow.operators.joins import same_key
 from recordflow.schemas import FIELD, FLAT_KEYS
 
 # ---- fixed values: error texts of the target system ----
@@ -26,7 +27,7 @@ def known_fields(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of fields the dictionary knows, and the distinct unknown field names."""
     known = dictionary.select(F.col(FIELD).alias("_known")).distinct()
-    on = F.col(FIELD) == F.col("_known")
+    on = same_key(F.col(FIELD), F.col("_known"))
     always_kept = F.col(FIELD).isin(*always)
     marked = eav.join(known.withColumn("_hit", F.lit(True)), on, "left")
     kept = marked.where(F.col("_hit") | always_kept).drop("_known", "_hit")

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from recordflow.operators.joins import only_keys
 from recordflow.schemas import FIELD, RECORD, VALUE
 from recordflow.session import literal_table
 
@@ -95,12 +96,8 @@ class CodeList:
 
 def flagged_records(eav: DataFrame, code_list: CodeList, label: str) -> DataFrame:
     """All rows of the records whose code-list field holds the code of `label`."""
-    flagged = (
-        eav.where((F.col(FIELD) == code_list.field) & (F.col(VALUE) == code_list[label]))
-        .select(RECORD)
-        .distinct()
-    )
-    return eav.join(flagged, RECORD, "left_semi")
+    flagged = eav.where((F.col(FIELD) == code_list.field) & (F.col(VALUE) == code_list[label]))
+    return only_keys(eav, F.col(RECORD), flagged.select(RECORD))
 
 
 @dataclass(frozen=True)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from recordflow.operators.codes import default_no
 from recordflow.operators.dedup import changed_rows
+from recordflow.operators.joins import only_keys
 from recordflow.operators.keys import map_ids_keep
 from recordflow.operators.ledger import unchanged_groups
 from recordflow.operators.quality import column_gate, data_columns
@@ -31,7 +32,7 @@ def to_load(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of instruments whose content is not in the ledger, and all instruments' keys."""
     load, skip = unchanged_groups(outputs, log, ledger, as_of, ttl_minutes=ttl_minutes)
-    rows = outputs.join(load.select("instrument"), "instrument", "left_semi")
+    rows = only_keys(outputs, F.col("instrument"), load.select("instrument"))
     keys = load.withColumn("skipped", F.lit(False)).unionByName(
         skip.withColumn("skipped", F.lit(True))
     )

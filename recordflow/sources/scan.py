@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from recordflow.operators.joins import only_keys
 from recordflow.operators.reshape import wide_to_eav
 from recordflow.operators.select import _name
 from recordflow.schemas import FIELD, RECORD, VALUE
@@ -56,8 +57,7 @@ def read_instruments(
 
 def only_instruments(rows: DataFrame, instruments: DataFrame) -> DataFrame:
     """Rows of known instruments, case ignored."""
-    known = instruments.select(F.lower("instrument_name").alias("_known")).distinct()
-    return rows.join(known, F.lower("instrument") == F.col("_known"), "left_semi")
+    return only_keys(rows, F.lower("instrument"), instruments.select(F.lower("instrument_name")))
 
 
 def export_flat(
@@ -86,9 +86,9 @@ def export_eav(
     """
     rows = eav.where(F.col(FIELD).isin(*fields))
     if match == "any":
-        filled = rows.where(F.coalesce(VALUE, F.lit("")) != "").select(RECORD).distinct()
-        rows = rows.join(filled, RECORD, "left_semi")
-    return rows if records is None else rows.join(records.select(RECORD), RECORD, "left_semi")
+        filled = rows.where(F.coalesce(VALUE, F.lit("")) != "").select(RECORD)
+        rows = only_keys(rows, F.col(RECORD), filled)
+    return rows if records is None else only_keys(rows, F.col(RECORD), records.select(RECORD))
 
 
 def flat_to_long_export(df: DataFrame, fields: Sequence[str], key: str = "record_id") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from recordflow.functions.nested import camel_case
 from recordflow.functions.text import sanitize
+from recordflow.operators.joins import only_keys
 from recordflow.operators.ledger import BATCH, Ledger
 from recordflow.plans.alerts import coded_alerts, parsed_alerts
 from recordflow.schemas import ALERT_SCHEMA, RECORD, TRIGGER_SCHEMA
@@ -55,7 +56,7 @@ def trigger_stream(spark: SparkSession, path: str) -> DataFrame:
 
 def triggered_rows(source: DataFrame, triggers: DataFrame) -> DataFrame:
     """Source rows of the triggered records."""
-    return source.join(triggers.select(RECORD).distinct(), RECORD, "left_semi")
+    return only_keys(source, F.col(RECORD), triggers.select(RECORD))
 
 
 def per_batch(

@@ -59,3 +59,25 @@ def test_schedule(spark, tmp_path):
         time.sleep(0.5)
     query.stop()
     assert seen == [1]
+
+
+def test_repeated_batch_ignores_its_own_marks(spark, eav):
+    from datetime import datetime
+
+    from recordflow.operators.ledger import Ledger
+    from recordflow.schemas import DICT_SCHEMA
+
+    dictionary = spark.createDataFrame([("alerts_asr_1", "f", "radio", "0, No | 1, Yes")], DICT_SCHEMA)
+    context = eav(("1", "mrn", "5", "arm"))
+    batch = spark.createDataFrame(
+        [("a", "answer", "5", 'Red: "Yes" to Sad asr_1', "a:1")],
+        "id string, type string, secretId string, message string, cache_key string",
+    )
+    out, book = shared_dir(spark, "out"), Ledger(spark, shared_dir(spark, "ledger"), "alerts", 2)
+    handle = streams.alert_handler(dictionary, context, out, book, lambda: datetime(2024, 1, 1))
+    expected = [("1", "alerts_asr_1", 0), ("1", "asr_alerts", 0)]
+    handle(batch, 0)
+    handle(batch, 0)
+    assert rows(spark.read.parquet(out), "record", "field_name", "batch") == expected
+    handle(batch, 1)
+    assert rows(spark.read.parquet(out), "record", "field_name", "batch") == expected
