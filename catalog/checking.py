@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalog.base import CUSTOMER_EAV, ITEMS_TEXT, customer_eav, hash_sql, items_text, query, table, text
+from catalog.base import ITEMS_TEXT, hash_sql, items_text, query, table, text
 from recordflow.operators import dedup, ledger, quality
 from recordflow.schemas import FIELD
 from recordflow.sources import scan

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog.base import (
-    AGE, AS_OF, CUSTOMER_EAV, EVENT_EAV, INTAKE_EAV, MONEY, customer_eav, event_eav, intake_eav, money,
-    query, table, text,
+    AGE, AS_OF, INTAKE_EAV, MONEY, intake_eav, money, query, table, text,
 )
 from recordflow.functions.dates import age_years
 from recordflow.operators import codes, dedup, select

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog.base import (
-    AS_OF, DAY, INTAKE_EAV, ISO, MONEY, ORDERS_FLAT, SNAPSHOT, intake_eav, iso, money, orders_flat, query, snapshot,
-    table, text,
+    AS_OF, DAY, INTAKE_EAV, ORDERS_FLAT, SNAPSHOT, intake_eav, iso, money, orders_flat, query, snapshot, table, text,
 )
 from catalog.choosing import LATEST
 from catalog.coding import FACTS, NEWS, RULED
-from recordflow.operators import dedup, keys, ledger, select
+from recordflow.operators import dedup, keys, ledger
 from recordflow.operators.reshape import eav_to_wide, wide_to_eav
 from recordflow.plans import accounts, crm, data_load, intake, invitations, responders, tracking
 from recordflow.plans import fixed_values as fixed

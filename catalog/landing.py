@@ -9,8 +9,9 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalog.base import EVENT_EAV, MONEY, ORDERS_FLAT, event_eav, iso, money, orders_flat, query, table, text
+from catalog.base import ORDERS_FLAT, iso, orders_flat, query, table, text
 from recordflow import schemas
+from recordflow.functions.nested import camel_case
 from recordflow.functions.text import with_composite_key
 from recordflow.operators import ledger
 from recordflow.plans import alerts
@@ -35,7 +36,7 @@ def typed_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scan.read_csv(spark, path, "mrn string, name string, nation int")
 
 
-@query("SELECT '0' || s_suppkey AS mrn, s_suppkey AS number FROM supplier")
+@query("SELECT '0' || s_suppkey AS mrn, CAST(s_suppkey AS INTEGER) AS number FROM supplier")
 def pinned_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "csv")
     number = F.concat(F.lit("0"), text("s_suppkey"))
@@ -217,8 +218,6 @@ def stream_alerts_ledger(spark: SparkSession, sf: str) -> DataFrame:
 @query(CODED.format("AND event_type <> 'purchase'"))
 def job_alerts(spark: SparkSession, sf: str) -> DataFrame:
     """The batch twin; purchases are in the ledger already."""
-    from recordflow.functions.nested import camel_case
-
     dictionary, context = alert_context(spark, sf)
     messages = camel_case(alert_messages(spark, sf))
     seen = messages.where(F.col("message").contains("_purchase_"))

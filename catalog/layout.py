@@ -366,9 +366,11 @@ def column_fallback(spark: SparkSession, sf: str) -> DataFrame:
     return customer.select("c_custkey", name, modified.alias("modified"))
 
 
-@query("SELECT * FROM orders_sorted".replace("orders_sorted", "(SELECT o_orderkey, o_custkey, o_totalprice_text FROM (SELECT o_orderkey, o_custkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice_text FROM orders ORDER BY o_custkey, o_orderkey LIMIT 25))"))
+@query(f"""
+SELECT o_orderkey, o_custkey, {MONEY.format('o_totalprice')} AS price FROM orders ORDER BY o_custkey, o_orderkey LIMIT 25
+""")
 def preview(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", money("o_totalprice").alias("o_totalprice_text"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", money("o_totalprice").alias("price"))
     return scan.preview(orders, 25, ["o_custkey", "o_orderkey"])
 
 

@@ -5,18 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog.base import (
-    DAY, EVENT_EAV, MONEY, ORDERS_FLAT, SNAPSHOT, day, event_eav, money, orders_flat, query, snapshot,
-    table, text,
+    EVENT_EAV, ORDERS_FLAT, SNAPSHOT, day, event_eav, orders_flat, query, snapshot, table, text,
 )
 from recordflow.operators import dedup, keys, upsert
-from recordflow.operators.select import CodeList
+from recordflow.operators.reshape import wide_to_eav
 from recordflow.schemas import RECORD
 
 
 def _order_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Long orders; pending ones have no `mrn`."""
-    from recordflow.operators.reshape import wide_to_eav
-
     wide = table(spark, sf, "orders").select(
         text("o_orderkey").alias("record"),
         text("o_orderkey").alias("record_id"),
@@ -250,8 +247,6 @@ def exclude_completed(spark: SparkSession, sf: str) -> DataFrame:
 
 def _sendable(spark: SparkSession, sf: str) -> DataFrame:
     """Long orders: an `mrn` and a status row each, in an event."""
-    from recordflow.operators.reshape import wide_to_eav
-
     wide = table(spark, sf, "orders").select(
         text("o_orderkey").alias("record"),
         F.concat(F.lit("event_"), "o_orderstatus").alias("redcap_event_name"),

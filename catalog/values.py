@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalog.base import ISO, MONEY, iso, money, query, table, text
+from catalog.base import MONEY, iso, money, query, table, text
 from recordflow.functions import dates, nested
 from recordflow.functions import text as texts
 from recordflow.operators import ledger
