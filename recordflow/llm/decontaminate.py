@@ -75,7 +75,8 @@ def hits(
     docs = keyed(docs, id_column, text_column)
     worded = docs.select("_id", "_print", words(F.col("_text")).alias("_words"))
     places = F.concat(*[_places(n) for n in lengths or [size]])
-    scanned = worded.select("_id", "_print", "_words", F.explode(places).alias("_w"))
+    # The outer form: of the other, the optimizer makes a filter that computes the places again.
+    scanned = worded.select("_id", "_print", "_words", F.explode_outer(places).alias("_w"))
     table = F.broadcast(windows) if known <= MAX_BROADCAST_WINDOWS else windows
     same = (F.col("_w.hash") == F.col("_hash")) & (
         F.slice("_words", F.col("_w.start") + 1, F.col("_length")) == F.col("_window")
