@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm import decontaminate
+from recordflow.llm import decontaminate, token_counts
 from recordflow.session import configure
 
 
@@ -18,8 +19,21 @@ def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    counted = token_counts.count_tokens(
+        _table(spark, sf, "documents").select("doc_id", "text"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+    )
+    n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    return counted.select(
+        "doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 512).alias("over_limit")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
+    "op8_token_counts": op8_token_counts,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
