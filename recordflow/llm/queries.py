@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm import decontaminate, token_counts
+from recordflow.llm import decontaminate, substring_dedup, token_counts
 from recordflow.session import configure
 
 
@@ -19,6 +19,10 @@ def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup.report(_table(spark, sf, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     counted = token_counts.count_tokens(
         _table(spark, sf, "documents").select("doc_id", "text"),
@@ -33,6 +37,7 @@ def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
+    "op5_substring_dedup": op5_substring_dedup,
     "op8_token_counts": op8_token_counts,
 }
 
