@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm import decontaminate, substring_dedup, token_counts
+from recordflow.llm import decontaminate, quality_rules, substring_dedup, token_counts
 from recordflow.session import configure
 
 
@@ -23,6 +23,12 @@ def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.report(_table(spark, sf, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    rules = quality_rules.fit(docs, _table(spark, sf, "labels"))
+    return quality_rules.judge(docs, rules).drop("text")
+
+
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     counted = token_counts.count_tokens(
         _table(spark, sf, "documents").select("doc_id", "text"),
@@ -38,6 +44,7 @@ def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_quality_rules": op6_quality_rules,
     "op8_token_counts": op8_token_counts,
 }
 
