@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm import decontaminate, quality_rules, substring_dedup, token_counts
+from recordflow.llm import decontaminate, line_dedup, quality_rules, substring_dedup, token_counts
 from recordflow.session import configure
 
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.report(_table(spark, sf, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
@@ -42,6 +46,7 @@ def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_rules": op6_quality_rules,
