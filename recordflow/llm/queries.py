@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm import decontaminate, line_dedup, quality_rules, substring_dedup, token_counts
+from recordflow.llm import decontaminate, line_dedup, quality_rules, substring_dedup, token_counts, toxicity
 from recordflow.session import configure
 
 
@@ -33,6 +33,17 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.judge(docs, rules).drop("text")
 
 
+def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (toxicity.fold("doc_id") == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     counted = token_counts.count_tokens(
         _table(spark, sf, "documents").select("doc_id", "text"),
@@ -50,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
 }
 
