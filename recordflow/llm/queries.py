@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm import decontaminate, line_dedup, quality_rules, substring_dedup, token_counts, toxicity
+from recordflow.llm import decontaminate, license_scan, line_dedup, packing, quality_rules, substring_dedup, token_counts, toxicity
 from recordflow.session import configure
 
 
@@ -23,6 +23,10 @@ def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def op4_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.report(_table(spark, sf, "documents"))
 
@@ -56,13 +60,19 @@ def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_decontaminate": op3_decontaminate,
+    "op4_license_scan": op4_license_scan,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
+    "op10_packing": op10_packing,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
