@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm import decontaminate, license_scan, line_dedup, packing, quality_rules, substring_dedup, token_counts, toxicity
+from recordflow.llm import decontaminate, jaccard_join, license_scan, line_dedup, packing, quality_rules, substring_dedup, token_counts, toxicity
 from recordflow.session import configure
 
 
@@ -19,6 +19,10 @@ def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.report(_table(spark, sf, "documents"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.report(_table(spark, sf, "documents")).drop("_print")
+
+
 def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
@@ -66,6 +70,7 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_decontaminate": op3_decontaminate,
     "op4_license_scan": op4_license_scan,
     "op5_substring_dedup": op5_substring_dedup,
