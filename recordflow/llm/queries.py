@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm import decontaminate, jaccard_join, license_scan, line_dedup, packing, quality_rules, substring_dedup, token_counts, toxicity
+from recordflow.llm import decontaminate, jaccard_join, license_scan, line_dedup, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
 from recordflow.session import configure
 
 
@@ -64,6 +64,10 @@ def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.report(_table(spark, sf, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_packing": op10_packing,
 }
 
