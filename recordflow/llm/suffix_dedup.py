@@ -264,7 +264,8 @@ def met(rows: list[dict]) -> list[tuple[str, bytes, bytes]]:
     trigger = np.cumsum(trigger_start) - 1
     starts = np.flatnonzero(trigger_start)
     mixed = np.minimum.reduceat(least, starts) < np.maximum.reduceat(least, starts) if len(starts) else starts
-    looked = phrase_start & mixed[trigger][phrase] if len(starts) else phrase_start
+    # All packs with the smallest ID are asked: rows of one ID may lie in several.
+    looked = (doc == least[phrase]) & mixed[trigger][phrase] if len(starts) else phrase_start
     out = []
     for number, row in enumerate(rows):
         own = pack == number
