@@ -177,8 +177,8 @@ ITEMS_TEXT = f"""
 
 def hash_sql(columns: list[str]) -> str:
     """Content hash of the columns, as `table_hash` forms it."""
-    cells = ", ".join(f"coalesce({c}, '␀')" for c in sorted(columns))
-    digits = f"CAST('0x' || substr(md5(concat_ws('|', {cells})), 1, 15) AS BIGINT)"
+    cells = " || ".join(f"coalesce(length({c}) || ':' || {c}, '-')" for c in sorted(columns))
+    digits = f"CAST('0x' || substr(md5({cells}), 1, 15) AS BIGINT)"
     total = f"CAST(sum(CAST({digits} AS HUGEINT)) AS VARCHAR)"
     return f"substr(md5(CAST(count(*) AS VARCHAR) || ':' || {total}), 1, 12)"
 

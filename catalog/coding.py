@@ -17,10 +17,10 @@ STATUS = select.CodeList("o_orderstatus", {"finished": "F", "open": "O", "pendin
 
 @query(f"""
 WITH eav AS ({INTAKE_EAV})
-SELECT * FROM eav WHERE record IN (SELECT record FROM eav WHERE field_name = 'intake_ready' AND value = '1')
+SELECT * FROM eav WHERE record IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus <> 'P')
 """)
 def flagged_records(spark: SparkSession, sf: str) -> DataFrame:
-    return select.flagged_records(intake_eav(spark, sf), fixed.INTAKE_READY, "Ready to send")
+    return select.flagged_records(intake_eav(spark, sf), fixed.INTAKE_READY, "Ready to Send")
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'")

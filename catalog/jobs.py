@@ -163,34 +163,42 @@ RESPONDERS = f"""
 """
 
 
-def _tracked(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Known responders are the customers of one segment, under their number."""
-    existing = table(spark, sf, "customer").where("c_mktsegment = 'MACHINERY'").select(
+def _known_responders(spark: SparkSession, sf: str) -> DataFrame:
+    """The customers of one segment, under their number."""
+    return table(spark, sf, "customer").where("c_mktsegment = 'MACHINERY'").select(
         text("c_custkey").alias("record"), F.upper("c_name").alias("resp_email")
     )
+
+
+def _changed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    roles = responders.stacked_roles(_consents(spark, sf), order_by=["value"])
+    return responders.responder_changes(roles, _known_responders(spark, sf))
+
+
+def _tracked(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     participants = table(spark, sf, "customer").where("c_mktsegment = 'MACHINERY'").select(
         text("c_custkey").alias("record"), F.col("c_nationkey").alias("redcap_repeat_instance")
     )
     roles = responders.stacked_roles(_consents(spark, sf), order_by=["value"])
-    return responders.track(roles, existing, participants)
+    return responders.track(roles, _known_responders(spark, sf), participants)
 
 
 @query(f"SELECT * FROM ({RESPONDERS}) WHERE resp_email NOT IN (SELECT c_name FROM customer WHERE c_mktsegment = 'MACHINERY')")
 def job_responders(spark: SparkSession, sf: str) -> DataFrame:
-    return _tracked(spark, sf)[0]
+    return _changed(spark, sf)[0]
 
 
 @query(f"""
 SELECT r.*, CAST(c_custkey AS VARCHAR) AS record FROM ({RESPONDERS}) r JOIN customer ON resp_email = c_name AND c_mktsegment = 'MACHINERY'
 """)
 def job_responders_known(spark: SparkSession, sf: str) -> DataFrame:
-    return _tracked(spark, sf)[1]
+    return _changed(spark, sf)[1]
 
 
 @query(f"""
 WITH linked AS (SELECT p.*, CAST(c_custkey AS VARCHAR) AS record, c_nationkey FROM ({CONSENTS}) p
                 LEFT JOIN customer ON resp_email = c_name AND c_mktsegment = 'MACHINERY')
-SELECT record, resp_email, CAST(coalesce(c_nationkey, 0) + row_number() OVER (PARTITION BY record ORDER BY source_record, pairing) AS INTEGER)
+SELECT record, resp_email, CAST(coalesce(c_nationkey, 0) + row_number() OVER (PARTITION BY coalesce('r' || record, 'e' || lower(trim(resp_email))) ORDER BY source_record, pairing) AS INTEGER)
          AS redcap_repeat_instance, child_dob, CAST(NULL AS VARCHAR) AS child_fname, mrn, 'child' AS participant_type, source_record
 FROM linked
 """)

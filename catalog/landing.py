@@ -215,6 +215,44 @@ def stream_alerts_ledger(spark: SparkSession, sf: str) -> DataFrame:
     return sink.read_back(spark, out).drop("batch")
 
 
+@query(CODED.format(""))
+def alert_both_spellings(spark: SparkSession, sf: str) -> DataFrame:
+    """Every second message comes in camelCase."""
+    dictionary, context = alert_context(spark, sf)
+    source, out = shared_dir(spark, "alerts"), shared_dir(spark, "coded")
+    messages = alert_messages(spark, sf)
+    odd = F.col("id").cast("bigint") % 2 == 1
+    messages.where(~odd).write.mode("append").json(source)
+    camel_case(messages.where(odd)).write.mode("append").json(source)
+    handle = streams.alert_handler(dictionary, context, out)
+    streams.run_available(streams.per_batch(streams.alert_stream(spark, source), handle, shared_dir(spark, "checkpoint")))
+    return sink.read_back(spark, out).drop("batch")
+
+
+@query(f"""
+WITH items AS (SELECT CAST(user_id AS VARCHAR) AS record, event_type, event_id, {_BAND} AS band, value FROM events WHERE event_type <> 'click')
+SELECT record, 'alerts_parent_' || event_type || '_' || band AS field_name, CASE WHEN value > 75 THEN 'High' ELSE ' low ' END AS value,
+       CASE WHEN event_type = 'signup' THEN 'unknown field' ELSE 'unknown record' END AS reason
+FROM items WHERE event_id % 7 > 1 AND (event_type = 'signup'
+  OR record NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'purchase' AND value > 100))
+UNION ALL SELECT record, NULL, 'no such shape', 'unreadable' FROM items WHERE event_id % 7 = 1
+UNION ALL SELECT NULL, NULL, '{{"id": "' || event_id || '", ', 'malformed' FROM events WHERE event_id % 7 = 0
+""")
+def stream_alerts_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    """What the stream can't push: broken and unreadable messages, unknown fields and records."""
+    dictionary, context = alert_context(spark, sf)
+    source, out, dead = shared_dir(spark, "alerts"), shared_dir(spark, "coded"), shared_dir(spark, "dead")
+    part = F.col("id").cast("bigint") % 7
+    shape = F.when(part == 1, "no such shape").otherwise(F.col("message"))
+    messages = alert_messages(spark, sf)
+    messages.where(part > 0).withColumn("message", shape).write.mode("append").json(source)
+    broken = F.concat(F.lit('{"id": "'), "id", F.lit('", '))
+    messages.where(part == 0).select(broken).write.mode("append").text(source)
+    handle = streams.alert_handler(dictionary, context, out, dead=dead)
+    streams.run_available(streams.per_batch(streams.alert_stream(spark, source), handle, shared_dir(spark, "checkpoint")))
+    return sink.read_back(spark, dead).drop("batch")
+
+
 @query(CODED.format("AND event_type <> 'purchase'"))
 def job_alerts(spark: SparkSession, sf: str) -> DataFrame:
     """The batch twin; purchases are in the ledger already."""
@@ -302,10 +340,9 @@ def stream_wait_default(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT DISTINCT v.event_id, CASE WHEN e.event_id IS NULL THEN 'no' ELSE 'yes' END AS alert
-FROM events v LEFT JOIN events e ON e.event_type = 'error' AND v.user_id = e.user_id
-  AND e.ts BETWEEN v.ts AND v.ts + INTERVAL 6 HOUR
-WHERE v.event_type = 'view'
+SELECT v.event_id, CASE WHEN v.ts + INTERVAL 6 HOUR >= (SELECT min(e.ts) FROM events e WHERE e.event_type = 'error' AND e.user_id = v.user_id)
+  THEN 'yes' ELSE 'no' END AS alert
+FROM events v WHERE v.event_type = 'view'
 """)
 def wait_default(spark: SparkSession, sf: str) -> DataFrame:
     """The batch twin."""
@@ -313,7 +350,7 @@ def wait_default(spark: SparkSession, sf: str) -> DataFrame:
     views = events.where("event_type = 'view'")
     errors = events.where("event_type = 'error'").select("user_id", F.col("ts").alias("error_at"))
     joined = streams.wait_for_positives(views, errors, "user_id", "ts", "error_at", "6 hours")
-    return joined.select("event_id", "alert").distinct()
+    return joined.select("event_id", "alert")
 
 
 @query("SELECT DISTINCT user_id || ':' || event_type AS cache_key FROM events")

@@ -129,6 +129,23 @@ def _renamed(kind: T.DataType) -> T.DataType:
     return kind
 
 
+def both_spellings(schema: T.StructType) -> T.StructType:
+    """A schema that also takes the camelCase spelling of every snake_case column."""
+    second = [T.StructField(_camel(f.name), _renamed(f.dataType)) for f in schema.fields if _camel(f.name) != f.name]
+    return T.StructType([*schema.fields, *second])
+
+
+def either_spelling(df: DataFrame, schema: T.StructType, *others: str) -> DataFrame:
+    """Columns of `schema` under their camelCase names, from whichever spelling holds a value."""
+
+    def cell(field: T.StructField) -> Column:
+        name = _camel(field.name)
+        value = F.col(f"`{field.name}`").cast(_renamed(field.dataType))
+        return (value if name == field.name else F.coalesce(value, F.col(f"`{name}`"))).alias(name)
+
+    return df.select([cell(f) for f in schema.fields] + list(others))
+
+
 def camel_case(df: DataFrame) -> DataFrame:
     """Rename snake_case columns and nested fields to camelCase."""
     return df.select(

@@ -65,11 +65,15 @@ def first_value(eav: DataFrame, order_by: Sequence[str] | None = None) -> DataFr
 # ---------------------------------------------------------------- content hashes
 
 
+def cells_text(cells: Sequence[Column]) -> Column:
+    """Cells as one text for hashing, each with its length, so that no two rows read alike."""
+    texts = [cell.cast("string") for cell in cells]
+    return F.concat(*[F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts])
+
+
 def row_text(columns: Sequence[str]) -> Column:
-    """Rows as text for hashing; a null differs from an empty text."""
-    return F.concat_ws(
-        "|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("␀")) for c in columns]
-    )
+    """Rows as text for hashing; a null differs from every text."""
+    return cells_text([F.col(f"`{c}`") for c in columns])
 
 
 def changed_rows(
@@ -88,15 +92,7 @@ def changed_rows(
     types = {f.name: f.dataType for f in incoming.schema.fields}
     known = existing.select(
         *[F.col(f"`{k}`").cast(types[k]).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.md5(
-            F.concat_ws(
-                "|",
-                *[
-                    F.coalesce(F.col(f"`{c}`").cast(types[c]).cast("string"), F.lit("␀"))
-                    for c in columns
-                ],
-            )
-        ).alias("_known"),
+        F.md5(cells_text([F.col(f"`{c}`").cast(types[c]) for c in columns])).alias("_known"),
         *[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order_by or ())],
     )
     known = known.groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(
@@ -214,7 +210,7 @@ def latest_instance(eav: DataFrame, order_by: Sequence[str] | None = None) -> Da
 
 
 SAMPLES_PER_CHUNK = 20
-MAX_CHUNKS = 1024
+ROWS_PER_CHUNK = 4_000_000
 
 
 def running_number(
@@ -222,21 +218,18 @@ def running_number(
 ) -> DataFrame:
     """Number the rows of every key from 1 in order, also where one key holds most rows.
 
-    A bounded sample shows which keys are too large for one task. The rows of those (all rows,
+    A seeded sample shows which keys are too large for one task. The rows of those (all rows,
     without keys) are cut into ordered chunks at sampled boundaries; a chunk is numbered on
-    its own and shifted by the sizes of the key's earlier chunks. The sample only spreads the
-    work, the numbers do not depend on it.
+    its own and shifted by the sizes of the key's earlier chunks. The number of chunks grows with
+    the rows. The sample only spreads the work: the numbers do not depend on it.
     """
     spark = df.sparkSession
-    chunks = min(MAX_CHUNKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    there = df.count()
+    chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-there // ROWS_PER_CHUNK))
     sort_key = F.struct(*[F.col(f"`{c}`") for c in (*keys, *order_by)])
-    sample = (
-        df.select(sort_key.alias("k"))
-        .orderBy(F.rand())
-        .limit(SAMPLES_PER_CHUNK * chunks)
-        .orderBy("k")
-        .collect()
-    )
+    share = min(1.0, SAMPLES_PER_CHUNK * chunks / max(1, there))
+    picked = df.select(sort_key.alias("k"))
+    sample = (picked.sample(share, seed=7) if share < 1 else picked).orderBy("k").collect()
     by_key: dict[tuple, list[tuple]] = {}
     for row in sample:
         by_key.setdefault(tuple(row.k)[: len(keys)], []).append(tuple(row.k))
@@ -302,12 +295,20 @@ def next_instance(
     key: str = RECORD,
     fallback_key: str = "resp_email",
 ) -> DataFrame:
-    """Assign repeat instances: the existing maximum of the record plus a running count."""
+    """Assign repeat instances: the existing maximum of the record plus a running count.
+
+    Rows without a record are new people, who get a record each: they are counted by their e-mail
+    address, upper and lower case and outer spaces aside.
+    """
     if existing is None:
         numbered = running_number(participants, [fallback_key], order_by, "_n")
         return numbered.withColumn(INSTANCE, F.col("_n").cast("int")).drop("_n")
     highest = existing.groupBy(F.col(key).alias("_key")).agg(F.max(INSTANCE).alias("_highest"))
-    numbered = running_number(participants, [key], order_by, "_n")
+    person = F.coalesce(
+        F.concat(F.lit("record "), F.col(key).cast("string")),
+        F.concat(F.lit("address "), F.lower(F.trim(fallback_key))),
+    )
+    numbered = running_number(participants.withColumn("_person", person), ["_person"], order_by, "_n").drop("_person")
     return (
         numbered.join(highest, same_key(numbered[key], highest["_key"]), "left")
         .withColumn(INSTANCE, (F.col("_n") + F.coalesce("_highest", F.lit(0))).cast("int"))

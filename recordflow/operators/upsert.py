@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from recordflow.operators.dedup import keep_one, running_number
+from recordflow.operators.dedup import cells_text, keep_one, running_number
 from recordflow.schemas import EVENT, FIELD, INSTANCE, INSTRUMENT, RECORD, VALUE
 
 EAV_KEYS = (RECORD, EVENT, FIELD)
@@ -36,8 +36,8 @@ def flat_upsert(
     """
 
     def last_per_key(df: DataFrame) -> DataFrame:
-        # Null keys become a text, so that one partitioning serves the choice and the join.
-        texts = {f"_k{i}": F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("␀")) for i, k in enumerate(keys)}
+        # Null keys become a text of their own, so that one partitioning serves the choice and the join.
+        texts = {f"_k{i}": cells_text([F.col(f"`{k}`")]) for i, k in enumerate(keys)}
         order = [c for c in order_by if c in df.columns] if order_by else df.columns
         return keep_one(df.withColumns(texts), list(texts), order, keep="last")
 

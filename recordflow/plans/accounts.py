@@ -66,7 +66,7 @@ def sent_accounts(
     children: DataFrame,
     outcomes: DataFrame,
     status_field: str = fixed.ENROLLMENT_COMPLETE.field,
-    status: str = fixed.ENROLLMENT_COMPLETE["Already sent"],
+    status: str = fixed.ENROLLMENT_COMPLETE["Parent and Participant information already sent"],
     order_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Status rows for children none of whose pushes failed.

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from recordflow.functions.text import alert_answer, alert_field, short_md5
 from recordflow.operators.codes import choice_rows, label_to_code
 from recordflow.operators.dedup import summary_flags
+from recordflow.operators.joins import only_keys
 from recordflow.operators.keys import enrich_events, id_map, map_ids_inner
 from recordflow.operators.ledger import unprocessed
 from recordflow.operators.quality import known_fields
@@ -47,11 +48,26 @@ def coded_alerts(
 
     `context` holds the target's ``mrn`` rows and its rows of alert fields.
     """
-    known, _ = known_fields(eav, dictionary)
-    items = known.where(F.col(FIELD) != "mrn")
-    located = enrich_events(items, context, order_by)
-    mapped, _ = map_ids_inner(located, id_map(context, order_by=order_by))
-    return summary_flags(label_to_code(mapped, choice_rows(dictionary)))
+    return split_alerts(eav, dictionary, context, order_by)[0]
+
+
+def split_alerts(
+    eav: DataFrame, dictionary: DataFrame, context: DataFrame, order_by: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Coded rows, and the rows of fields the dictionary lacks or of records the target lacks.
+
+    The latter have ``record, field_name, value, reason``: no row of `eav` but the ``mrn`` rows is
+    in neither.
+    """
+    items = eav.where(F.col(FIELD) != "mrn")
+    known, _ = known_fields(items, dictionary)
+    unknown = only_keys(items, F.col(FIELD), dictionary.select(FIELD), "left_anti")
+    mapped, unmapped = map_ids_inner(enrich_events(known, context, order_by), id_map(context, order_by=order_by))
+    rejected = [
+        df.select(RECORD, FIELD, VALUE, F.lit(reason).alias("reason"))
+        for df, reason in ((unknown, "unknown field"), (unmapped, "unknown record"))
+    ]
+    return summary_flags(label_to_code(mapped, choice_rows(dictionary))), rejected[0].unionByName(rejected[1])
 
 
 def new_alerts(

@@ -15,6 +15,7 @@ from recordflow.operators.reshape import first_contact
 from recordflow.operators.select import column_or, has_status
 from recordflow.sources.scan import union_exports
 
+# Names of the time of change, in the order tried, and the two status values.
 MODIFIED = ("lastModified", "updatedAt", "modifiedDate", "updated_at")
 SEND = "Send to RedCap"
 SENT = "consent_form_created_in_redcap"

@@ -23,12 +23,19 @@ SECOND_GUARDIAN_COMPLETE = CodeList(
     "complete_parent_second_guardian_consent",
     {**COMPLETE, "Not Required": "3", "Not Applicable (Adult Participant)": "4"},
 )
-INTAKE_READY = CodeList("intake_ready", {"Not sent": "0", "Ready to send": "1", "Already sent": "2"})
+# The labels of the next two lists that name the study or its app end before that name.
+INTAKE_READY = CodeList("intake_ready", {"Not sent": "0", "Ready to Send": "1", "Participant information already sent": "2"})
 ENROLLMENT_COMPLETE = CodeList(
-    "enrollment_complete", {"Not Sent": "0", "Ready to send": "1", "Already sent": "2"}
+    "enrollment_complete",
+    {"Not Sent": "0", "Ready to Send": "1", "Parent and Participant information already sent": "2"},
 )
 AUDIOVIDEO = CodeList(
-    "permission_audiovideo_participant", {"Not Applicable": "0", "Yes": "1", "No": "2"}
+    "permission_audiovideo_participant",
+    {
+        "Not Applicable: no assent required": "0",
+        "YES, you may record me during participation": "1",
+        "NO, you may not record me during participation": "2",
+    },
 )
 INVITATION_STATUS = CodeList("invite_status", {"not_invited": "1", "pending": "2", "invited": "3"})
 
@@ -115,30 +122,47 @@ INTAKE_PREFIXES = [
     "complete_parent_second_guardian_consent",
     "dob",
     "email",
+    "email_2",
     "enroll_date",
     "first_name",
     "futurecontact",
+    "futurecontact_2",
     "gender",
+    "gender_other",
+    "genderpronoun",
+    "genderpronoun_parent1",
+    "genderpronoun_parent2",
+    "genderpronounother",
     "guardian2_consent_due",
     "guardian_relation",
+    "guardian_relation_2",
+    "guardian_relation_other",
+    "guardian_relation_other_2",
     "last_name",
     "middlename_y",
     "mrn",
     "parent_involvement",
     "parent_last_name_2",
     "parentfirstname",
+    "parentfirstname_2",
     "parentlastname",
     "permission_audiovideo",
+    "permission_audiovideo_participant",
     "permission_collab",
     "phone",
+    "phone_2",
     "prefname",
     "q_devices",
+    "q_devices_info",
     "q_silverallergy",
     "record_id",
     "role_consent",
     "same_address",
     "sex",
     "sibling",
+    "siblingdob",
+    "siblingfirstname",
+    "siblinglastname",
     "state1",
     "state_2",
     "zipcode1",

@@ -35,7 +35,7 @@ def standard_rules(as_of: date | str) -> list[RecordRule]:
             {guardian["No"]: form["Not Required"], guardian[adult]: form[adult]},
         ),
         age_rule(
-            fixed.AUDIOVIDEO.field, fixed.ASSENT_AGE, fixed.AUDIOVIDEO["Not Applicable"], as_of
+            fixed.AUDIOVIDEO.field, fixed.ASSENT_AGE, fixed.AUDIOVIDEO["Not Applicable: no assent required"], as_of
         ),
     ]
 
@@ -55,7 +55,7 @@ def format_records(
     Flag, rules and ID are read from the table in one aggregate and applied in one join,
     rather than in a join each, which would scan the table again for every one of them.
     """
-    flag = (ready.field, ready["Ready to send"]) if ready else None
+    flag = (ready.field, ready["Ready to Send"]) if ready else None
     fields = fact_fields(rules, id_field, flag)
     facts = record_facts(
         rename_fields(eav.where(F.col(FIELD).isin(*before_rename(fields, renames))), renames),
@@ -79,7 +79,7 @@ def before_rename(fields: Sequence[str], renames: Mapping[str, str]) -> list[str
 
 def ready_records(eav: DataFrame, flag: CodeList = fixed.INTAKE_READY) -> DataFrame:
     """Rows of the records marked ready."""
-    return flagged_records(eav, flag, "Ready to send")
+    return flagged_records(eav, flag, "Ready to Send")
 
 
 def sent_status(
@@ -95,5 +95,5 @@ def sent_status(
         source.where(F.col(FIELD) == flag.field), F.col(RECORD), F.col(EVENT), order_by
     ).select(F.col("key").alias(RECORD), F.col("value").alias(EVENT))
     found = mapped.where(F.col("source_record").isNotNull())
-    rows = status_rows(found, events, flag.field, flag["Already sent"], record="source_record")
+    rows = status_rows(found, events, flag.field, flag["Participant information already sent"], record="source_record")
     return rows, back_map_check(mapped)

@@ -32,6 +32,11 @@ def responders(roles: DataFrame) -> DataFrame:
     return keep_one(addressed.select(*CONTACT, "source_record"), ["resp_email"], [*CONTACT, "source_record"])
 
 
+def responder_changes(roles: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Responders to create and responders to update, against ``record, resp_email``."""
+    return split_by_email(responders(roles), existing, order_by=["record"])
+
+
 def track(
     roles: DataFrame,
     existing: DataFrame,
@@ -43,7 +48,7 @@ def track(
     `existing` has ``record, resp_email``; `existing_participants` has ``record,
     redcap_repeat_instance``.
     """
-    create, update = split_by_email(responders(roles), existing, order_by=["record"])
+    create, update = responder_changes(roles, existing)
     linked = link_by_email(roles, existing, order_by=["record"])
     numbered = next_instance(linked, existing_participants, list(order_by))
     return create, update, numbered.select(

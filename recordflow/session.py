@@ -9,8 +9,8 @@ from collections.abc import Iterable, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Literal tables (rename maps, code lists) are built from Python values; anything larger than
-# this belongs in a file and is joined like any other table.
+# Literal tables (rename maps, code lists) up to this size are hinted as broadcasts; of larger
+# ones Spark decides by their size.
 MAX_LITERAL_ROWS = 10_000
 
 
@@ -27,12 +27,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """Return a new folder name every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``; a local folder is used only where the session
-    names none, which is the single-machine case.
+    It lies under ``spark.checkpoint.dir``. Where the session names none, a local folder is used
+    if all of Spark runs on this machine; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
+    if not base and spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="recordflow-")
         spark.sparkContext.setCheckpointDir(base)
@@ -42,9 +44,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 def literal_table(
     spark: SparkSession, columns: Sequence[str], rows: Iterable[Sequence[str | None]]
 ) -> DataFrame:
-    """Turn a few Python tuples of strings into a broadcastable local relation."""
+    """Turn Python tuples of strings into a relation, broadcast if it is small."""
     rows = list(rows)
-    if len(rows) > MAX_LITERAL_ROWS:
-        raise ValueError(f"{len(rows)} literal rows; pass a DataFrame instead")
     arrays = [pa.array([row[i] for row in rows], pa.string()) for i in range(len(columns))]
-    return F.broadcast(spark.createDataFrame(pa.table(arrays, names=list(columns))))
+    table = spark.createDataFrame(pa.table(arrays, names=list(columns)))
+    return F.broadcast(table) if len(rows) <= MAX_LITERAL_ROWS else table

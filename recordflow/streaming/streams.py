@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from recordflow.functions.nested import camel_case
+from recordflow.functions.nested import both_spellings, either_spelling
 from recordflow.functions.text import sanitize
-from recordflow.operators.joins import only_keys
+from recordflow.operators.joins import only_keys, same_key
 from recordflow.operators.ledger import BATCH, Ledger
-from recordflow.plans.alerts import coded_alerts, parsed_alerts
+from recordflow.plans.alerts import parsed_alerts, rejected_alerts, split_alerts
 from recordflow.schemas import ALERT_SCHEMA, RECORD, TRIGGER_SCHEMA
 
 CORRUPT = "_corrupt_record"
@@ -29,10 +29,14 @@ def read_messages(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def alert_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Stream of alerts in the spelling of the batch interface."""
-    messages = read_messages(spark, path, ALERT_SCHEMA)
-    good = messages.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return camel_case(good)
+    """Stream of alerts, written in either spelling, in that of the batch interface.
+
+    A malformed message keeps its text in ``_corrupt_record`` and has nothing else.
+    """
+    schema = T.StructType.fromDDL(ALERT_SCHEMA)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in both_spellings(schema).fields)
+    messages = read_messages(spark, path, columns)
+    return either_spelling(messages, schema, CORRUPT)
 
 
 def dead_letters(messages: DataFrame, required: list[str]) -> DataFrame:
@@ -88,21 +92,40 @@ def alert_handler(
     out: str,
     ledger: Ledger | None = None,
     clock: Callable[[], datetime] = lambda: datetime.now(UTC),
+    dead: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Handler that codes the alerts of a batch and writes the rows to push.
 
-    With a ledger, alerts seen within its time to live are left out. Entries name the batch
+    What cannot be pushed goes to `dead` (by default a folder beside `out`) with its reason:
+    malformed messages, unreadable answers, unknown fields and unknown records. With a ledger, alerts seen within its time to live are left out. Entries name the batch
     that made them, so a batch repeated after a failure does not take its own for another's.
     """
 
+    letters = dead or f"{out.rstrip('/')}-dead"
+
+    def push(alerts: DataFrame, number: int) -> None:
+        coded, rejected = split_alerts(parsed_alerts(alerts), dictionary, context)
+        write_batch(coded, out, number)
+        malformed = alerts.where(F.col(CORRUPT).isNotNull()) if CORRUPT in alerts.columns else alerts.limit(0)
+        raw = sanitize(F.col(CORRUPT)) if CORRUPT in alerts.columns else F.lit(None).cast("string")
+        nothing = F.lit(None).cast("string")
+        unreadable = rejected_alerts(alerts).select(
+            F.col("secretId").alias("record"), nothing.alias("field_name"), sanitize(F.col("message")).alias("value"), F.lit("unreadable").alias("reason")
+        )
+        broken = malformed.select(nothing.alias("record"), nothing.alias("field_name"), raw.alias("value"), F.lit("malformed").alias("reason"))
+        write_batch(rejected.unionByName(unreadable).unionByName(broken), letters, number)
+
     def handle(batch: DataFrame, number: int) -> None:
-        if ledger is None:
-            write_batch(coded_alerts(parsed_alerts(batch), dictionary, context), out, number)
-            return
-        now, name = clock(), f"{out}#{number}"
-        fresh = ledger.unprocessed(batch, now, batch=name)
-        write_batch(coded_alerts(parsed_alerts(fresh), dictionary, context), out, number)
-        ledger.mark(batch.select("cache_key"), now, {BATCH: name})
+        held = batch.persist()
+        try:
+            if ledger is None:
+                push(held, number)
+                return
+            now, name = clock(), f"{out}#{number}"
+            push(ledger.unprocessed(held, now, batch=name), number)
+            ledger.mark(held.select("cache_key").dropna(), now, {BATCH: name})
+        finally:
+            held.unpersist()
 
     return handle
 
@@ -127,22 +150,27 @@ def wait_for_positives(
     wait: str = "15 seconds",
     delay: str = "15 seconds",
 ) -> DataFrame:
-    """Left join of rows with positives that arrive within `wait`; unmatched rows are ``no``.
+    """Rows, each once, with ``alert``: ``yes`` if their key is positive by the end of `wait`.
 
-    Works on streams (both sides get a watermark, so state is bounded) and on tables. Rows
-    come out ``no`` once the watermark shows that no positive can follow.
+    On tables any earlier positive counts, so the first positive of a key decides: one aggregate,
+    and one row of it for each row. A stream keeps state for the wait only (both sides get a
+    watermark): rows come out ``no`` once the watermark shows that no positive can follow, and
+    once for each positive within the wait. Earlier positives are in the target table by then;
+    ``default_no`` reads them there.
     """
-    if rows.isStreaming:
-        rows, positives = rows.withWatermark(rows_time, delay), positives.withWatermark(
-            positives_time, delay
-        )
+    if not rows.isStreaming:
+        first = positives.groupBy(F.col(key).alias("_key")).agg(F.min(positives_time).alias("_positive"))
+        known = rows.join(first, same_key(rows[key], first["_key"]), "left")
+        in_time = F.col("_positive") <= F.col(rows_time) + F.expr(f"interval {wait}")
+        return known.withColumn("alert", F.when(in_time, "yes").otherwise("no")).drop("_key", "_positive")
+    rows, positives = rows.withWatermark(rows_time, delay), positives.withWatermark(positives_time, delay)
     flagged = positives.select(F.col(key).alias("_key"), F.col(positives_time).alias("_positive"))
     on = (
         (rows[key] == flagged["_key"])
         & (flagged["_positive"] >= rows[rows_time])
         & (flagged["_positive"] <= rows[rows_time] + F.expr(f"interval {wait}"))
     )
-    joined = rows.join(flagged, on, "left_outer" if rows.isStreaming else "left")
+    joined = rows.join(flagged, on, "left_outer")
     return joined.withColumn("alert", F.when(F.col("_positive").isNotNull(), "yes").otherwise("no")).drop("_key", "_positive")
 
 

@@ -69,9 +69,13 @@ def test_groups_and_log(spark):
     assert rows(back) == [("2024-01-01T00:00:00.000000", "N/A", "bad", "push")] * 2
 
 
-def test_literal_tables_are_bounded(spark):
-    with pytest.raises(ValueError):
-        literal_table(spark, ["a"], [("x",)] * (MAX_LITERAL_ROWS + 1))
+def test_only_small_literal_tables_are_hinted(spark):
+    def hinted(count):
+        plan = literal_table(spark, ["a"], [("x",)] * count)._jdf.queryExecution().analyzed().toString()
+        return "broadcast" in plan.lower()
+
+    assert hinted(2) and not hinted(MAX_LITERAL_ROWS + 1)
+    assert literal_table(spark, ["a"], [("x",)] * (MAX_LITERAL_ROWS + 1)).count() == MAX_LITERAL_ROWS + 1
 
 
 def test_shared_dir_follows_the_session(spark):
