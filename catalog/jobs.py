@@ -81,7 +81,7 @@ def job_intake_status(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _operations(spark: SparkSession, sf: str) -> DataFrame:
-    """A record per customer; the segment decides what is known of the parent's part."""
+    """A record per customer; the segment decides what is known of the parent's part and who is ready."""
     segment = F.col("c_mktsegment")
     wide = table(spark, sf, "customer").select(
         F.concat(F.lit("rec"), text("c_custkey")).alias("record"), F.lit("enroll_arm").alias("redcap_event_name"),
@@ -89,7 +89,7 @@ def _operations(spark: SparkSession, sf: str) -> DataFrame:
         F.lower("c_name").alias("email"), F.concat(F.lit("kid "), "c_name").alias("app_email_child"),
         F.when(segment == "BUILDING", "1,2").when(segment == "MACHINERY", "2").alias("parent_involvement"),
         F.concat(F.lit("R"), text("c_custkey")).alias("r_id"), F.upper("c_name").alias("parentfirstname"),
-        F.lit("1").alias("enrollment_complete"),
+        F.when(segment == "HOUSEHOLD", "0").otherwise("1").alias("enrollment_complete"),
     )
     return wide_to_eav(wide, ["record", "redcap_event_name"])
 
@@ -102,7 +102,7 @@ _PAD = "CASE WHEN length(CAST(c_custkey AS VARCHAR)) < 5 THEN lpad(CAST(c_custke
 
 
 @query(f"""
-WITH kids AS (SELECT *, {_PAD} AS id FROM customer WHERE c_mktsegment <> 'MACHINERY')
+WITH kids AS (SELECT *, {_PAD} AS id FROM customer WHERE c_mktsegment NOT IN ('MACHINERY', 'HOUSEHOLD'))
 SELECT CASE kind WHEN 'full' THEN 'child' ELSE 'parent' END AS target, id AS "secretUserId",
        CASE kind WHEN 'full' THEN 'respondent' ELSE 'shell-account' END AS route,
        '{{"role":"respondent","tag":"Child","email":"kid ' || c_name || '","firstName":"' || c_name || '","lastName":"' || c_mktsegment
@@ -113,7 +113,7 @@ SELECT 'parent', 'R' || c_custkey, 'respondent',
        '{{"email":"' || lower(c_name) || '","role":"respondent","tag":"Parent","firstName":"' || upper(c_name) || '","secretUserId":"R'
        || c_custkey || '","language":"en"'
        || CASE c_mktsegment WHEN 'BUILDING' THEN ',"parent_involvement":"1,2"' WHEN 'MACHINERY' THEN ',"parent_involvement":"2"' ELSE '' END
-       || ',"accountType":"full"}}' FROM customer
+       || ',"accountType":"full"}}' FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'
 """)
 def job_accounts(spark: SparkSession, sf: str) -> DataFrame:
     return accounts.account_requests(*_individuals(spark, sf))
@@ -121,7 +121,7 @@ def job_accounts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 SELECT 'rec' || c_custkey AS record, 'enrollment_complete' AS field_name, '2' AS value, 'enroll_arm' AS redcap_event_name
-FROM customer WHERE c_mktsegment NOT IN ('MACHINERY', 'FURNITURE')
+FROM customer WHERE c_mktsegment NOT IN ('MACHINERY', 'FURNITURE', 'HOUSEHOLD')
 """)
 def job_accounts_sent(spark: SparkSession, sf: str) -> DataFrame:
     """Write-back after pushes of which those of one segment failed and those of another existed."""

@@ -11,7 +11,7 @@ from recordflow.functions.text import strip_zeros, zero_pad
 from recordflow.operators.keys import write_back
 from recordflow.operators.quality import outcome_class
 from recordflow.operators.reshape import individual_frame
-from recordflow.operators.select import drop_present, expand_variants
+from recordflow.operators.select import CodeList, drop_present, expand_variants, flagged_records
 from recordflow.plans import fixed_values as fixed
 
 # Columns used to select children; they are not part of an account.
@@ -25,8 +25,14 @@ def individuals(
     child: Mapping[str, str | None] = fixed.CHILD_ACCOUNT,
     parent: Mapping[str, str | None] = fixed.PARENT_ACCOUNT,
     order_by: Sequence[str] | None = None,
+    ready: CodeList | None = fixed.ENROLLMENT_COMPLETE,
 ) -> tuple[DataFrame, DataFrame]:
-    """Child and parent frames; children only where a parent takes part (or it is unknown)."""
+    """Child and parent frames; children only where a parent takes part (or it is unknown).
+
+    Only records whose `ready` field says so get accounts; without one, all do.
+    """
+    if ready is not None:
+        eav = flagged_records(eav, ready, "Ready to Send")
     children = individual_frame(eav, child_renames, child, order_by)
     if "parent_involvement" in children.columns:
         involved = F.when(

@@ -38,7 +38,7 @@ def test_accounts(eav):
         ("1", "parentfirstname", "Par", "x"), ("1", "r_id", "R1", "x"), ("1", "enrollment_complete", "1", "arm"),
         ("2", "mrn", "456", "x"), ("2", "parent_involvement", "2", "x"), ("3", "mrn", "789", "x"),
     )
-    children, parents = accounts.individuals(df, fixed.child_renames("app"), order_by=["value"])
+    children, parents = accounts.individuals(df, fixed.child_renames("app"), order_by=["value"], ready=None)
     assert rows(children, "secretUserId", "firstName", "language") == [("00123", "Kid", "en"), ("00789", None, "en")]
     assert "parent_involvement" not in children.columns
     requests = accounts.account_requests(children, parents.where("secretUserId IS NOT NULL"))
