@@ -146,6 +146,7 @@ def _consents(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderpriority").alias("parentfirstname"),
         F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("second "), "c_mktsegment")).alias("email_2"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("dob"), text("o_custkey").alias("mrn"),
+        F.when(F.col("o_orderstatus") == "P", "0").otherwise("1").alias("intake_ready"),
     )
     return wide_to_eav(wide, ["record"])
 
@@ -153,7 +154,7 @@ def _consents(spark: SparkSession, sf: str) -> DataFrame:
 CONSENTS = f"""
   SELECT CAST(o_orderkey AS VARCHAR) AS source_record, 0 AS pairing, c_name AS resp_email, o_orderpriority AS resp_fname,
          {DAY.format('o_orderdate')} AS child_dob, CAST(o_custkey AS VARCHAR) AS mrn
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment <> 'BUILDING'
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment <> 'BUILDING' AND o_orderstatus <> 'P'
   UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 1, 'second ' || c_mktsegment, NULL, {DAY.format('o_orderdate')}, CAST(o_custkey AS VARCHAR)
   FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F'
 """
@@ -451,7 +452,7 @@ def _contacts(spark: SparkSession, sf: str) -> DataFrame:
 
 CONTACTS = """
   SELECT c_custkey AS record_id, c_custkey AS mrn, CASE WHEN c_nationkey >= 10 THEN '1:' || c_name
-         WHEN c_nationkey >= 5 THEN '2:' || c_name END AS email_consent, '2024-01-15' AS day FROM customer WHERE c_mktsegment <> 'BUILDING'
+         WHEN c_nationkey >= 5 THEN '2:' || c_name END AS email_consent, '2024-01-15' AS day FROM customer WHERE c_mktsegment <> 'BUILDING' AND o_orderstatus <> 'P'
   UNION ALL SELECT s_suppkey + 10000000, s_suppkey + 10000000, s_name, '' FROM supplier
 """
 CRM_ROWS = f"""
@@ -494,7 +495,7 @@ def job_crm_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT c_name AS "globalId", 'consent_form_created_in_redcap' AS "cv.consent_form", 'main' AS "importType" FROM customer WHERE c_mktsegment <> 'BUILDING'
+SELECT c_name AS "globalId", 'consent_form_created_in_redcap' AS "cv.consent_form", 'main' AS "importType" FROM customer WHERE c_mktsegment <> 'BUILDING' AND o_orderstatus <> 'P'
 UNION ALL SELECT s_name, 'consent_form_created_in_redcap', 'waitlist' FROM supplier
 """)
 def job_crm_status(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,6 +10,7 @@ from recordflow.functions.text import responder_id
 from recordflow.operators.dedup import keep_one, next_instance
 from recordflow.operators.keys import link_by_email, split_by_email
 from recordflow.operators.reshape import Pairing, eav_to_wide, role_pairs
+from recordflow.operators.select import CodeList, flagged_records
 from recordflow.plans import fixed_values as fixed
 
 CONTACT = ["resp_email", "resp_fname", "resp_lname", "resp_phone"]
@@ -19,8 +20,14 @@ def stacked_roles(
     eav: DataFrame,
     pairings: Iterable[Pairing] = fixed.RESPONDER_PAIRINGS,
     order_by: Sequence[str] | None = None,
+    ready: CodeList | None = fixed.INTAKE_READY,
 ) -> DataFrame:
-    """One row per responder of a record, with the participant they answer for."""
+    """One row per responder of a ready record, with the participant they answer for.
+
+    Without `ready`, all records count.
+    """
+    if ready is not None:
+        eav = flagged_records(eav, ready, "Ready to Send")
     pairings = list(pairings)
     fields = list(dict.fromkeys(f for p in pairings for f in (*p.responder, *p.participant)))
     return role_pairs(eav_to_wide(eav, fields, order_by=order_by), pairings)

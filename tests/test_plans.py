@@ -60,7 +60,7 @@ def test_responders(spark, eav):
     )
     existing = spark.createDataFrame([("7", "a@X")], "record string, resp_email string")
     known = spark.createDataFrame([("7", 3)], "record string, redcap_repeat_instance int")
-    create, update, people = responders.track(responders.stacked_roles(df, order_by=["value"]), existing, known)
+    create, update, people = responders.track(responders.stacked_roles(df, order_by=["value"], ready=None), existing, known)
     assert rows(create, "resp_email") == [("b@x",)]
     assert rows(update, "record", "resp_email", "resp_fname") == [("7", "A@x", "Ann")]
     assert rows(people, "record", "resp_email", "redcap_repeat_instance", "mrn") == [
