@@ -16,7 +16,9 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from recordflow.llm.common import bounded_sample
 
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 6_000
 BUCKETS = 1 << 20
 SIZE = 8
 GRAMS = (3, 5)
@@ -37,6 +39,8 @@ LEAST_SHARE, LEAST_TEXTS = 0.02, 5
 # A text counts as if it had so many words without a sign more, or a short one would say too much.
 EMPTY_WORDS = 10
 CACHE_WORDS = 200_000
+# So many vectors are gathered at once in training.
+GATHERED = 1 << 19
 EDGES = ".,;:!?\"'()[]"
 
 
@@ -71,31 +75,45 @@ class Model:
 
 
 class _Sums:
-    """Sums of rows by group, both ways: of members into groups, of groups' gradients into members."""
+    """Weighted means of rows by group, and gradients of the means back to the rows.
+
+    Members are taken a part at a time, so what is gathered at once stays small.
+    """
 
     def __init__(self, members: np.ndarray, starts: np.ndarray, size: int, weights: np.ndarray | None = None, empty: float = 0.0):
         lengths = np.diff(np.append(starts, len(members)))
-        self.members, self.starts = members, starts
-        group = np.repeat(np.arange(len(starts)), lengths)
-        weights = np.ones(len(members)) if weights is None else weights
-        self.weights = weights / np.repeat(np.add.reduceat(weights, starts) + empty, lengths)
-        self.weights = self.weights.astype(np.float32)[:, None]
+        weights = np.ones(len(members), np.float32) if weights is None else weights.astype(np.float32)
+        weights /= np.repeat((np.add.reduceat(weights, starts) + empty).astype(np.float32), lengths)
         order = np.argsort(members, kind="stable")
-        self.back, self.back_weights = group[order], self.weights[order]
-        self.touched, self.back_starts = np.unique(members[order], return_index=True)
+        group = np.repeat(np.arange(len(starts), dtype=np.int32), lengths)[order]
         self.size = size
+        self.touched, back_starts = np.unique(members[order], return_index=True)
+        self.forth = (members.astype(np.int32), starts, weights)
+        self.back = (group, back_starts, weights[order])
+
+    @staticmethod
+    def _sums(rows: np.ndarray, members: np.ndarray, starts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        out = np.empty((len(starts), rows.shape[1]), np.float32)
+        at = 0
+        while at < len(starts):
+            to = max(at + 1, int(np.searchsorted(starts, starts[at] + GATHERED, side="right")) - 1)
+            low, high = starts[at], starts[to] if to < len(starts) else len(members)
+            part = rows[members[low:high]] * weights[low:high, None]
+            out[at:to] = np.add.reduceat(part, starts[at:to] - low)
+            at = to
+        return out
 
     def mean(self, rows: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(rows[self.members] * self.weights, self.starts)
+        return self._sums(rows, *self.forth)
 
     def spread(self, gradient: np.ndarray) -> np.ndarray:
         out = np.zeros((self.size, gradient.shape[1]), np.float32)
-        out[self.touched] = np.add.reduceat(gradient[self.back] * self.back_weights, self.back_starts)
+        out[self.touched] = self._sums(gradient, *self.back)
         return out
 
 
 def train(
-    bags: list[list[tuple[str, int]]],
+    bags: Iterable[list[tuple[str, int]]],
     toxic: np.ndarray,
     buckets: int = BUCKETS,
     size: int = SIZE,
@@ -109,14 +127,18 @@ def train(
     vectors of subwords without a sign near zero.
     """
     vocabulary: dict[str, int] = {}
-    filled = [i for i, bag in enumerate(bags) if bag]
-    y = toxic[filled].astype(np.float32)
+    members, weights, starts, labels = array("i"), array("f"), [], []
+    for bag, label in zip(bags, toxic):
+        if bag:
+            starts.append(len(members))
+            labels.append(label)
+            members.extend(vocabulary.setdefault(w, len(vocabulary)) for w, _ in bag)
+            weights.extend(n for _, n in bag)
+    y = np.array(labels, np.float32)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(buckets, np.float32), -60.0)
-    members = np.array([vocabulary.setdefault(w, len(vocabulary)) for i in filled for w, _ in bags[i]])
-    weights = np.array([n for i in filled for _, n in bags[i]], float)
-    starts = np.cumsum([0] + [len(bags[i]) for i in filled])[:-1]
-    grams = [np.array(buckets_of(w, buckets)) for w in vocabulary]
+    members, weights, starts = np.array(members), np.array(weights), np.array(starts)
+    grams = [np.array(buckets_of(w, buckets), np.int32) for w in vocabulary]
     texts = np.zeros(buckets, np.int32)
     for part in np.split(members, starts[1:]):
         texts[np.unique(np.concatenate([grams[w] for w in part]))] += 1
@@ -169,19 +191,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     sample = bounded_sample(known.select(F.col(id_column).alias("_id"), F.col(label).alias("_label")), "_id", rows)
     texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
 
-    @F.pandas_udf(T.MapType(T.StringType(), T.IntegerType()))
-    def bag(texts: pd.Series) -> pd.Series:
-        def count(text: str | None) -> dict[str, int]:
-            counts: dict[str, int] = {}
-            for w in words_of(text):
-                counts[w] = counts.get(w, 0) + 1
-            return counts
-
-        return texts.map(count)
+    @F.pandas_udf("struct<words:string,counts:array<int>>")
+    def bag(texts: pd.Series) -> pd.DataFrame:
+        counts = [sorted(Counter(words_of(t)).items()) for t in texts]
+        return pd.DataFrame({"words": [" ".join(w for w, _ in c) for c in counts], "counts": [[n for _, n in c] for c in counts]})
 
     found = texts.join(F.broadcast(sample), "_id").select("_id", "_label", bag("_text").alias("_bag")).collect()
-    found.sort(key=lambda r: (r["_id"], r["_label"], len(r["_bag"])))
-    return train([sorted(r["_bag"].items()) for r in found], np.array([r["_label"] == 1 for r in found]))
+    found.sort(key=lambda r: (r["_id"], r["_label"], r["_bag"]["words"]))
+    bags = (list(zip(r["_bag"]["words"].split(), r["_bag"]["counts"])) for r in found)
+    return train(bags, np.array([r["_label"] == 1 for r in found]))
 
 
 def score(docs: DataFrame, model: Model, text_column: str = "text", score_column: str = "score") -> DataFrame:
