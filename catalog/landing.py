@@ -132,6 +132,17 @@ def ledger_table(spark: SparkSession, sf: str) -> DataFrame:
     return book.live("2024-02-01T00:20:00").select("key")
 
 
+@query("SELECT DISTINCT CAST(user_id AS VARCHAR) AS key FROM events WHERE event_type <> 'purchase'")
+def ledger_purged(spark: SparkSession, sf: str) -> DataFrame:
+    """Buyers were marked two days before; their day is deleted, the others' is not."""
+    book = ledger.Ledger(spark, shared_dir(spark, "ledger"), "users", 60)
+    events = table(spark, sf, "events")
+    book.mark(events.where("event_type = 'purchase'").select(text("user_id")), "2024-01-30T12:00:00")
+    book.mark(events.where("event_type <> 'purchase'").select(text("user_id")), "2024-02-01T00:00:00")
+    book.purge("2024-02-01T00:30:00")
+    return book.log().select("key")
+
+
 # ---------------------------------------------------------------- alerts
 
 

@@ -19,6 +19,7 @@ from recordflow.schemas import LEDGER_SCHEMA
 
 REMOVED = "removed"
 BATCH = "batch"
+DAY = "day"
 
 
 def entries(
@@ -44,14 +45,17 @@ def current(log: DataFrame) -> DataFrame:
     return rows.where(F.try_element_at("metadata", F.lit(REMOVED)).isNull())
 
 
+def _oldest(as_of: datetime | str, ttl_minutes: int) -> Column:
+    return as_timestamp(as_of) - F.make_dt_interval(mins=F.lit(ttl_minutes))
+
+
 def live(log: DataFrame, as_of: datetime | str, ttl_minutes: int = 60) -> DataFrame:
     """Entries not older than the time to live.
 
     The time is tested before the latest entry is chosen, which gives the same rows and lets
     the scan skip files written before.
     """
-    oldest = as_timestamp(as_of) - F.make_dt_interval(mins=F.lit(ttl_minutes))
-    return current(log.where(F.col("processed_at") >= oldest))
+    return current(log.where(F.col("processed_at") >= _oldest(as_of, ttl_minutes)))
 
 
 def unprocessed(
@@ -142,26 +146,51 @@ def pull(df: DataFrame, window: DataFrame, column: str = "ts") -> DataFrame:
 
 
 class Ledger:
-    """A ledger kept as a Parquet folder that only ever grows."""
+    """A ledger kept as a Parquet folder of one subfolder per day.
+
+    What is live is read from the days that can hold it; `purge` deletes the days past the time
+    to live.
+    """
 
     def __init__(self, spark: SparkSession, path: str, name: str, ttl_minutes: int = 60) -> None:
         self.spark, self.path, self.name, self.ttl_minutes = spark, path, name, ttl_minutes
         if not self._exists():
-            spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(path)
+            self._append(spark.createDataFrame([], LEDGER_SCHEMA))
 
-    def _exists(self) -> bool:
+    def _folder(self, *parts: str):
+        """A folder under the ledger, and the file system it is on."""
         jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        return folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+        folder = jvm.org.apache.hadoop.fs.Path("/".join([self.path.rstrip("/"), *parts]))
+        return folder, folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def log(self) -> DataFrame:
-        """All entries of this ledger."""
-        rows = self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
-        return rows.where(F.col("ledger") == self.name)
+    def _exists(self) -> bool:
+        folder, files = self._folder()
+        return files.exists(folder)
+
+    def _append(self, rows: DataFrame) -> None:
+        dated = rows.withColumn(DAY, F.to_date("processed_at"))
+        dated.write.mode("append").partitionBy(DAY).parquet(self.path)
+
+    def log(self, since: Column | None = None) -> DataFrame:
+        """Entries of this ledger, of the days from `since` on."""
+        rows = self.spark.read.schema(f"{LEDGER_SCHEMA}, {DAY} date").parquet(self.path)
+        if since is not None:
+            rows = rows.where(F.col(DAY) >= F.to_date(since))
+        return rows.where(F.col("ledger") == self.name).drop(DAY)
+
+    def purge(self, as_of: datetime | str) -> list[str]:
+        """Delete the days of which no entry is live any more; all ledgers of the folder share them."""
+        first = self.spark.range(1).select(F.to_date(_oldest(as_of, self.ttl_minutes))).first()[0]
+        folder, files = self._folder()
+        days = [s.getPath().getName() for s in files.listStatus(folder) if s.getPath().getName().startswith(f"{DAY}=")]
+        gone = sorted(d for d in days if d < f"{DAY}={first}")
+        for day in gone:
+            files.delete(self._folder(day)[0], True)
+        return gone
 
     def mark(self, keys: DataFrame, as_of: datetime | str, metadata: dict[str, str] | None = None) -> None:
         """Mark keys as processed; marking again restarts their time to live."""
-        entries(keys, self.name, as_of, metadata).write.mode("append").parquet(self.path)
+        self._append(entries(keys, self.name, as_of, metadata))
 
     def remove(self, keys: DataFrame, as_of: datetime | str) -> None:
         """Take keys out."""
@@ -173,7 +202,7 @@ class Ledger:
 
     def live(self, as_of: datetime | str) -> DataFrame:
         """Entries that still count."""
-        return live(self.log(), as_of, self.ttl_minutes)
+        return live(self.log(_oldest(as_of, self.ttl_minutes)), as_of, self.ttl_minutes)
 
     def unprocessed(
         self, df: DataFrame, as_of: datetime | str, key: str = "cache_key", batch: str | None = None
@@ -183,11 +212,11 @@ class Ledger:
         Entries marked by `batch` itself do not count, so that a batch repeated after a failure
         gives the same rows again.
         """
-        log = self.log()
+        log = self.log(_oldest(as_of, self.ttl_minutes))
         if batch is not None:
             log = log.where(~F.try_element_at("metadata", F.lit(BATCH)).eqNullSafe(F.lit(batch)))
         return unprocessed(df, log, self.name, as_of, self.ttl_minutes, key)
 
     def stats(self, as_of: datetime | str) -> DataFrame:
         """Entries, oldest and newest time."""
-        return stats(self.log(), as_of, self.ttl_minutes)
+        return stats(self.log(_oldest(as_of, self.ttl_minutes)), as_of, self.ttl_minutes)

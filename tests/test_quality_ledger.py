@@ -94,6 +94,16 @@ def test_remove_and_clear(spark):
     assert rows(b.live(NOW + timedelta(minutes=1)), "key") == [("b",)]
 
 
+def test_days_are_pruned_and_purged(spark):
+    b = book(spark, 60)
+    for day in (1, 2, 3):
+        b.mark(keyed(spark, f"k{day}"), NOW + timedelta(days=day))
+    plan = b.live(NOW + timedelta(days=3))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert len(b.purge(NOW + timedelta(days=3))) == 2
+    assert rows(b.log(), "key") == [("k3",)] and b.purge(NOW + timedelta(days=3)) == []
+
+
 def test_ledgers_do_not_mix(spark):
     path = shared_dir(spark, "ledger")
     one, two = ledger.Ledger(spark, path, "one"), ledger.Ledger(spark, path, "two")
