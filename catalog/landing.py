@@ -57,14 +57,20 @@ def json_scan(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT o_orderkey, o_custkey, o_orderstatus AS instrument FROM orders WHERE o_orderstatus IN ('F', 'O')")
 def instrument_scan(spark: SparkSession, sf: str) -> DataFrame:
     """A file per status, read back for the instruments that are known in another case."""
-    base = shared_dir(spark, "instruments")
+    base, parts = shared_dir(spark, "instruments"), shared_dir(spark, "parts")
     orders = table(spark, sf, "orders")
-    orders.select("o_orderkey", "o_custkey", "o_orderstatus").write.partitionBy("o_orderstatus").option("header", True).csv(base)
-    rows = spark.read.schema("o_orderkey bigint, o_custkey bigint").option("header", True).csv(base)
-    # Spark names files itself; the folder it makes per value stands for the file name here.
-    staged = rows.withColumn("instrument", F.col("o_orderstatus"))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(base).getFileSystem(conf)
+    files.mkdirs(path(base))
+    for status in ("F", "O", "P"):
+        # An export has one file per instrument; Spark names its own files, so they are renamed.
+        one = orders.where(F.col("o_orderstatus") == status).select("o_orderkey", "o_custkey").coalesce(1)
+        one.write.option("header", True).csv(f"{parts}/{status}")
+        written = next(f.getPath() for f in files.listStatus(path(f"{parts}/{status}")) if f.getPath().getName().startswith("part"))
+        files.rename(written, path(f"{base}/{status}.csv"))
     known = orders.where("o_orderstatus <> 'P'").select(F.lower("o_orderstatus").alias("instrument_name"))
-    return scan.only_instruments(staged, known).drop("o_orderstatus")
+    return scan.read_instruments(spark, base, "o_orderkey bigint, o_custkey bigint", known)
 
 
 @query("SELECT o_orderstatus AS status, count(*) AS intake, count(*) AS app FROM orders GROUP BY o_orderstatus")

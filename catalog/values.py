@@ -49,7 +49,7 @@ def composite_key(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT event_id, upper(event_type) || '/' || user_id AS cache_key FROM events")
 def built_key(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "events").select("event_id", "event_type", "user_id")
-    keyed = ledger.with_built_key(rows, ["event_type", "user_id"], lambda kind, user: f"{kind.upper()}/{user}")
+    keyed = ledger.with_built_key(rows, ["event_type", "user_id"], lambda kind, user: kind.str.upper() + "/" + user.astype(str))
     return keyed.select("event_id", "cache_key")
 
 

@@ -83,16 +83,16 @@ def stats(log: DataFrame, as_of: datetime | str, ttl_minutes: int = 60) -> DataF
 
 
 def with_built_key(
-    df: DataFrame, columns: Sequence[str], builder: Callable[..., str], name: str = "cache_key"
+    df: DataFrame, columns: Sequence[str], builder: Callable[..., pd.Series], name: str = "cache_key"
 ) -> DataFrame:
-    """Add a key made by a Python function of the columns, in Arrow batches.
+    """Add a key made by a Python function that takes and returns Series, in Arrow batches.
 
     Only for rules that columns cannot express; plain keys use ``with_composite_key``.
     """
 
     @F.pandas_udf("string")
     def build(*parts: pd.Series) -> pd.Series:
-        return pd.Series([builder(*row) for row in zip(*parts)], dtype="object")
+        return builder(*parts)
 
     return df.withColumn(name, build(*[F.col(c) for c in columns]))
 

@@ -16,17 +16,26 @@ from recordflow.schemas import FIELD, RECORD, VALUE
 ID_COLUMNS = ("customId", "mrn")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Read CSV files with a header; types are inferred only where no schema is given."""
+def read_csv(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None, infer: bool = False
+) -> DataFrame:
+    """Read CSV files with a header, by a schema or as text.
+
+    `infer` reads the files once more to find the types; it is for small or unknown files.
+    """
     reader = spark.read.option("header", True)
-    return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
+    paths = path if isinstance(path, str) else list(path)
+    return reader.schema(schema).csv(paths) if schema else reader.option("inferSchema", infer).csv(paths)
 
 
 def read_csv_pinned(
     spark: SparkSession, path: str, text_columns: Sequence[str] = ID_COLUMNS
 ) -> DataFrame:
-    """Read CSV files with inferred types, except identifier columns, which stay text."""
-    inferred = read_csv(spark, path).schema
+    """Read CSV files with inferred types, except identifier columns, which stay text.
+
+    The types come from a pass over the files; where they are known, give `read_csv` a schema.
+    """
+    inferred = read_csv(spark, path, infer=True).schema
     pinned = T.StructType(
         [
             T.StructField(f.name, T.StringType() if f.name in text_columns else f.dataType)
@@ -47,17 +56,18 @@ def read_instruments(
 ) -> DataFrame:
     """Read a folder of ``<instrument>.csv`` files, only those of known instruments.
 
-    `instruments` has the column ``instrument_name``; ``instrument`` is added to the rows.
+    `instruments` has the column ``instrument_name``, case ignored, a few rows as in a dictionary;
+    ``instrument`` is added to the rows. Files of other names are not opened.
     """
-    rows = spark.read.option("header", True).schema(schema).csv(path).select(
-        "*", F.regexp_replace("_metadata.file_name", r"\.csv$", "").alias("instrument")
-    )
-    return only_instruments(rows, instruments)
-
-
-def only_instruments(rows: DataFrame, instruments: DataFrame) -> DataFrame:
-    """Rows of known instruments, case ignored."""
-    return only_keys(rows, F.lower("instrument"), instruments.select(F.lower("instrument_name")))
+    known = {r[0] for r in instruments.select(F.lower("instrument_name")).distinct().collect()}
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    paths = [f.getPath() for f in files if f.getPath().getName().endswith(".csv")]
+    wanted = [p.toString() for p in paths if p.getName().removesuffix(".csv").lower() in known]
+    if not wanted:
+        return spark.createDataFrame([], schema).withColumn("instrument", F.lit(None).cast("string"))
+    name = F.regexp_replace("_metadata.file_name", r"\.csv$", "").alias("instrument")
+    return read_csv(spark, wanted, schema).select("*", name)
 
 
 def export_flat(

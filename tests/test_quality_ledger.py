@@ -127,7 +127,7 @@ def test_recent_window(spark, last_activity, options, minutes):
 
 def test_built_key(spark):
     df = spark.createDataFrame([("a", 1), ("b", None)], "x string, y int")
-    out = ledger.with_built_key(df, ["x", "y"], lambda x, y: f"{x}-{'none' if y != y or y is None else int(y)}")
+    out = ledger.with_built_key(df, ["x", "y"], lambda x, y: x + "-" + y.map(lambda v: "none" if v != v else str(int(v))))
     assert rows(out, "cache_key") == [("a-1",), ("b-none",)]
 
 
