@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from recordflow.llm.common import bounded_sample
 
-SAMPLE_ROWS = 6_000
+SAMPLE_ROWS = 4_000
 BUCKETS = 1 << 20
 SIZE = 8
 GRAMS = (3, 5)
@@ -40,7 +40,7 @@ LEAST_SHARE, LEAST_TEXTS = 0.02, 5
 EMPTY_WORDS = 10
 CACHE_WORDS = 200_000
 # So many vectors are gathered at once in training.
-GATHERED = 1 << 19
+GATHERED = 1 << 18
 EDGES = ".,;:!?\"'()[]"
 
 
@@ -82,14 +82,18 @@ class _Sums:
 
     def __init__(self, members: np.ndarray, starts: np.ndarray, size: int, weights: np.ndarray | None = None, empty: float = 0.0):
         lengths = np.diff(np.append(starts, len(members)))
+        group = np.repeat(np.arange(len(starts), dtype=np.int32), lengths)
         weights = np.ones(len(members), np.float32) if weights is None else weights.astype(np.float32)
-        weights /= np.repeat((np.add.reduceat(weights, starts) + empty).astype(np.float32), lengths)
-        order = np.argsort(members, kind="stable")
-        group = np.repeat(np.arange(len(starts), dtype=np.int32), lengths)[order]
+        weights = weights / (np.add.reduceat(weights, starts) + np.float32(empty))[group]
+        order = np.argsort(members, kind="stable").astype(np.int32)
         self.size = size
-        self.touched, back_starts = np.unique(members[order], return_index=True)
-        self.forth = (members.astype(np.int32), starts, weights)
-        self.back = (group, back_starts, weights[order])
+        self.forth = self._grouped(group, members, weights)
+        self.back = self._grouped(members[order], group[order], weights[order])
+
+    @staticmethod
+    def _grouped(by: np.ndarray, members: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
+        first = np.flatnonzero(np.concatenate([[True], by[1:] != by[:-1]]))
+        return by[first], members, first, weights
 
     @staticmethod
     def _sums(rows: np.ndarray, members: np.ndarray, starts: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -104,11 +108,11 @@ class _Sums:
         return out
 
     def mean(self, rows: np.ndarray) -> np.ndarray:
-        return self._sums(rows, *self.forth)
+        return self._sums(rows, *self.forth[1:])
 
     def spread(self, gradient: np.ndarray) -> np.ndarray:
         out = np.zeros((self.size, gradient.shape[1]), np.float32)
-        out[self.touched] = self._sums(gradient, *self.back)
+        out[self.back[0]] = self._sums(gradient, *self.back[1:])
         return out
 
 
@@ -138,15 +142,18 @@ def train(
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(buckets, np.float32), -60.0)
     members, weights, starts = np.array(members), np.array(weights), np.array(starts)
-    grams = [np.array(buckets_of(w, buckets), np.int32) for w in vocabulary]
+    grams, edges = array("i"), array("i", [0])
+    for word in vocabulary:
+        grams.extend(buckets_of(word, buckets))
+        edges.append(len(grams))
+    grams, edges = np.frombuffer(grams, np.int32), np.frombuffer(edges, np.int32)
     texts = np.zeros(buckets, np.int32)
     for part in np.split(members, starts[1:]):
-        texts[np.unique(np.concatenate([grams[w] for w in part]))] += 1
+        texts[np.unique(np.concatenate([grams[edges[w] : edges[w + 1]] for w in part]))] += 1
     known = texts >= max(LEAST_TEXTS, least_share * len(y))
-    place = np.where(known, np.cumsum(known), 0)
+    place = np.where(known, np.cumsum(known), 0).astype(np.int32)
     docs = _Sums(members, starts, len(vocabulary), weights, EMPTY_WORDS)
-    subwords = _Sums(place[np.concatenate(grams)], np.cumsum([0] + [len(g) for g in grams])[:-1], int(known.sum()) + 1)
-
+    subwords = _Sums(place[grams], edges[:-1], int(known.sum()) + 1)
     # Rare and common subwords get a like spread: each is scaled by the root of its mean share.
     share = subwords.spread(docs.spread(np.full((len(y), 1), 1 / len(y), np.float32)))
     scale = 1 / np.sqrt(np.maximum(share, 1e-12))
