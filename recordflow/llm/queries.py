@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import public_tokenizers
@@ -88,7 +89,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_TEMPLATES = ", ".join(
+    f"({number}, '{label}', {len(found)}, {math.ceil(license_scan.THRESHOLD * len(found) - 1e-9)}, {sorted(found)})"
+    for number, (label, found) in enumerate(license_scan.template_words())
+)
+_PHRASES = ", ".join(f"('{label}', {phrase.split()})" for phrase, label in license_scan.PHRASES.items())
+
 ORACLES: dict[str, str] = {
+    "op4_license_scan": rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+t AS (SELECT * FROM (VALUES {_TEMPLATES}) AS v(number, label, size, need, ws)),
+b AS (SELECT doc_id, list_slice(w, 64 * k + 1, 64 * k + 128) AS block
+      FROM (SELECT doc_id, w, unnest(range(0, 1 + CAST(greatest(0, ceil((len(w) - 128) / 64.0)) AS BIGINT))) AS k FROM d)),
+m AS (SELECT doc_id, label, len(list_intersect(ws, block)) AS shared, size FROM b, t
+      WHERE len(list_intersect(ws, block)) >= need),
+p AS (SELECT * FROM (VALUES {_PHRASES}) AS v(label, parts)),
+f AS (SELECT doc_id, p.label, i FROM (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM d) x, p
+      WHERE w[i + 1] = parts[1] AND list_slice(w, i + 1, i + len(parts)) = parts),
+fs AS (SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS z, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM f GROUP BY doc_id),
+ls AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+       FROM (SELECT doc_id, label FROM f UNION ALL SELECT doc_id, label FROM m) GROUP BY doc_id),
+ms AS (SELECT doc_id, max(shared / size) AS best FROM m GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base, CAST(a AS BIGINT) AS first_word,
+       CAST(z AS BIGINT) AS last_word, coalesce(fs.labels, '') AS base_labels, coalesce(ls.labels, '') AS labels,
+       CAST(CASE WHEN n > 0 THEN 1 ELSE coalesce(best, 0) END AS DOUBLE) AS score
+FROM d LEFT JOIN fs USING (doc_id) LEFT JOIN ls USING (doc_id) LEFT JOIN ms USING (doc_id)
+""",
+    "op9_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, j, substr(h, 2000 * j + 1, 2098) AS part
+      FROM (SELECT doc_id, h, unnest(range(0, (len(h) // 2 + 950) // 1000)) AS j FROM d WHERE len(h) >= 100)),
+w AS (SELECT doc_id, 1000 * j + q AS p, substr(part, 2 * q + 1, 100) AS k
+      FROM (SELECT doc_id, j, part, unnest(range(0, least(1000, len(part) // 2 - 49))) AS q FROM c)),
+f AS (SELECT k, min(doc_id) AS first_doc FROM w GROUP BY k HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT doc_id, p FROM w JOIN f USING (k) WHERE first_doc < doc_id),
+mark AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS fresh FROM hit),
+num AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM mark),
+run AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS z FROM num GROUP BY doc_id, run),
+gap AS (SELECT doc_id, a, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_byte FROM run),
+cut AS (SELECT doc_id, from_byte, a FROM gap UNION ALL SELECT doc_id, max(z), NULL FROM run GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * from_byte + 1, 2 * (coalesce(a, len(h) // 2) - from_byte)), '' ORDER BY from_byte) AS k
+         FROM cut JOIN d USING (doc_id) GROUP BY doc_id),
+total AS (SELECT doc_id, sum(z - a) AS n, count(*) AS runs FROM run GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(runs, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN total USING (doc_id) LEFT JOIN kept USING (doc_id)
+""",
     "op3_decontaminate": rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
