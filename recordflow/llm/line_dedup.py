@@ -11,7 +11,7 @@ none is left out: each extends the blocks it stands in, and several in the same
 A line points to one document only. Thus the work grows with the number of lines, not with the
 square of the number of documents that share one, and no list of documents is capped.
 
-Lines are equal if they are after trimming; blank lines never match but don't end a block. The
+Lines are equal if they are after trimming. A blank line never matches, and ends a block. The
 earlier document is that of the smaller ID (null last), then of the smaller fingerprint; rows
 that repeat ID and text are one document, and each gets its result. Null and empty texts have no
 lines and stay as they are. Empty tables give empty results. Columns of the results' names are
@@ -128,10 +128,7 @@ def aligned(rows: list[dict]) -> set[int]:
 
 
 def blocks(rows: list[dict], rare_texts: int, min_words: int, min_lines: int) -> list[int]:
-    """Line numbers to delete: those of the runs of aligned lines that are large enough.
-
-    `order` counts lines that aren't blank, so blank lines don't end a run.
-    """
+    """Line numbers to delete: those of the runs of aligned lines that are large enough."""
     lines_found = aligned(rows)
     gone: list[int] = []
     run: list[dict] = []

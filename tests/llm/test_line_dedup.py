@@ -73,7 +73,7 @@ def test_blocks(make_docs):
         "\n".join([base[2], "between them a line that is new", base[5]]),
     )
     gone = {r.doc_id: r.gone for r in dedup.deletions(docs).select("_id", "gone").withColumnRenamed("_id", "doc_id").collect()}
-    assert gone[1] == [1, 2, 3, 4, 6, 7]  # blank lines stay, and don't count
+    assert gone[1] == [1, 2, 3, 4, 6, 7]  # the blank line stays and parts two blocks
     assert len(gone[2]) == 1  # only one line of a reversed text is in order
     assert gone[6] == [0, 2]
     assert not {0, 3, 4, 5} & set(gone)
