@@ -50,13 +50,15 @@ def keyed(docs: DataFrame, id_column: str, text_column: str, *others: str) -> Da
     )
 
 
-def attach(docs: DataFrame, found: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def attach(docs: DataFrame, found: DataFrame, id_column: str, text_column: str, print_chars: int = 32) -> DataFrame:
     """`docs` with the columns of `found`, which has one row per ``_id, _print``.
 
     Rows without a match get nulls. Columns of `found` take the place of columns of the same name.
+    `print_chars`: how much of the fingerprints `found` has.
     """
     new = [c for c in found.columns if c not in ("_id", "_print")]
     print_of = F.md5(F.coalesce(F.col(text_column), F.lit("")).cast("binary"))
+    print_of = print_of if print_chars == 32 else F.substring(print_of, 1, print_chars)
     kept = [c for c in docs.columns if c not in new]
     left = docs.select(*kept, print_of.alias("_doc_print"))
     right = found.withColumnsRenamed({"_id": "_found_id", "_print": "_found_print"})

@@ -30,6 +30,8 @@ from recordflow.llm.common import attach, keyed
 from recordflow.operators.joins import same_key
 
 MIN_WORDS = 6
+PRINT_CHARS = 20  # 80 bits tell apart the texts of one ID; every run carries them
+OUT_ROWS = 20_000  # runs handed over at a time; bounds a worker's memory
 UNIT = regex.compile(r"[^\n.!?]*[.!?]+[^\S\n]*\n?|[^\n.!?]+\n?|\n")
 UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
 
@@ -47,7 +49,7 @@ def digests(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, b
         if words:
             spans.append(unit.span())
             normal.append(" ".join(words))
-            upto.append(upto[-1] + size(words))
+            upto.append(upto[-1] + (len(words) if normal[-1].isascii() else size(words)))
     n = len(spans)
     if n and upto[n] < min_words:
         whole = hashlib.blake2b("\n".join(normal).encode(), digest_size=12, person=b"text")
@@ -73,24 +75,31 @@ def digests(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, b
 
 
 def units(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``_id, _print, start, stop, digest`` of every run of units to compare; prints as bytes."""
-    docs = keyed(docs, id_column, text_column).withColumn("_print", F.unhex("_print"))
+    """``_id, _print, start, stop, digest`` of every run of units to compare; prints are cut to bytes."""
+    docs = keyed(docs, id_column, text_column).withColumn("_print", F.unhex(F.substring("_print", 1, PRINT_CHARS)))
     kind = docs.schema["_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, starts, stops, found = [], [], [], []
-            for row, text in enumerate(batch.column("_text").to_pylist()):
-                for start, stop, digest in digests(text, min_words):
+
+            def gathered() -> pa.RecordBatch:
+                of = pa.array(rows, pa.int32())
+                return pa.RecordBatch.from_arrays(
+                    [batch.column("_id").take(of), batch.column("_print").take(of), pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.array(found, pa.binary())],
+                    ["_id", "_print", "start", "stop", "digest"],
+                )
+
+            for row, text in enumerate(batch.column("_text")):
+                for start, stop, digest in digests(text.as_py(), min_words):
                     rows.append(row)
                     starts.append(start)
                     stops.append(stop)
                     found.append(digest)
-            of = pa.array(rows, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_id").take(of), batch.column("_print").take(of), pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.array(found, pa.binary())],
-                ["_id", "_print", "start", "stop", "digest"],
-            )
+                if len(rows) >= OUT_ROWS:
+                    yield gathered()
+                    rows, starts, stops, found = [], [], [], []
+            yield gathered()
 
     return docs.mapInArrow(cut, f"_id {kind}, _print binary, start int, stop int, digest binary")
 
@@ -164,7 +173,7 @@ def _kept(texts: pd.Series, spans: pd.Series) -> pd.Series:
 def dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS, spans_column: str = "removed_spans") -> DataFrame:
     """`docs` without repeated units, and the original offsets of what was removed."""
     runs = repeats(docs, id_column, text_column, min_words).withColumnRenamed("runs", spans_column)
-    found = attach(docs, runs, id_column, text_column).withColumn(spans_column, _spans(F.col(text_column), F.col(spans_column)))
+    found = attach(docs, runs, id_column, text_column, PRINT_CHARS).withColumn(spans_column, _spans(F.col(text_column), F.col(spans_column)))
     return found.withColumn(text_column, _kept(F.col(text_column), F.col(spans_column)))
 
 
