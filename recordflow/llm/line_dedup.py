@@ -4,9 +4,9 @@ Every line that occurs in several documents points to the earliest of them. A do
 earlier one its lines point to are a pair; the pair's lines are aligned by patience diff: lines
 that both hold once are matched in their longest common order, and matches grow to equal
 neighbours. A run of aligned lines in the later document is a block, whichever earlier documents
-its lines come from, and goes if it holds ``MIN_WORDS`` words and either a rare line (in at most
-``RARE_TEXTS`` documents) or ``MIN_LINES`` lines. So frequent lines find no overlap alone, but
-none is left out: each extends the blocks it stands in, and several in the same order are a block.
+its lines come from, and goes if it holds ``MIN_WORDS`` words, in however many documents its lines
+are. With `rare_texts` a block must also hold a rare line (in at most so many documents) or
+``MIN_LINES`` lines.
 
 A line points to one document only. Thus the work grows with the number of lines, not with the
 square of the number of documents that share one, and no list of documents is capped.
@@ -30,7 +30,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from recordflow.llm.common import attach, keyed
 from recordflow.operators.joins import same_key
 
-RARE_TEXTS = 100
+# No limit: as a count it would delete a line from a small table and keep it in a large one.
+RARE_TEXTS = None
 MIN_WORDS = 8
 MIN_LINES = 3
 
@@ -127,14 +128,14 @@ def aligned(rows: list[dict]) -> set[int]:
     return found
 
 
-def blocks(rows: list[dict], rare_texts: int, min_words: int, min_lines: int) -> list[int]:
+def blocks(rows: list[dict], rare_texts: int | None, min_words: int, min_lines: int) -> list[int]:
     """Line numbers to delete: those of the runs of aligned lines that are large enough."""
     lines_found = aligned(rows)
     gone: list[int] = []
     run: list[dict] = []
 
     def close() -> None:
-        rare = any(r["n_texts"] <= rare_texts for r in run)
+        rare = rare_texts is None or any(r["n_texts"] <= rare_texts for r in run)
         if sum(r["n_words"] for r in run) >= min_words and (rare or len(run) >= min_lines):
             gone.extend(r["line_no"] for r in run)
 
@@ -156,7 +157,7 @@ def deletions(
     docs: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    rare_texts: int = RARE_TEXTS,
+    rare_texts: int | None = RARE_TEXTS,
     min_words: int = MIN_WORDS,
     min_lines: int = MIN_LINES,
 ) -> DataFrame:

@@ -88,5 +88,11 @@ def test_frequent_lines_go_only_with_others(make_docs):
     assert len(dedup.deletions(docs, rare_texts=100).collect()) == 8
 
 
+def test_short_texts_go_however_many_copies_there_are(make_docs):
+    one, two = "one line of nine words that many texts are", "a first line of five\nand a second line of six"
+    gone = {r._id: r.gone for r in dedup.deletions(make_docs(*[one, two] * 120)).collect()}
+    assert gone == {i: [[0], [0, 1]][i % 2] for i in range(2, 240)}
+
+
 def test_empty_table(no_docs):
     assert dedup.report(no_docs).count() == 0
