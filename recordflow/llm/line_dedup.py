@@ -3,12 +3,14 @@
 Every line that occurs in several documents points to the earliest of them. A document and the
 earlier one its lines point to are a pair; the pair's lines are aligned by patience diff: lines
 that both hold once are matched in their longest common order, and matches grow to equal
-neighbours. A run of aligned lines in the later document is a block, whichever earlier documents
+neighbours; a line that repeats is compared with all its places. Two neighbouring lines (but for
+blank ones) that are neighbours in any earlier document are aligned as well, so a block copied from
+a later one than the first holder of its lines is found whole. A run of aligned lines in the later document is a block, whichever earlier documents
 its lines come from, and goes if it holds ``MIN_WORDS`` words, in however many documents its lines
 are. With `rare_texts` a block must also hold a rare line (in at most so many documents) or
 ``MIN_LINES`` lines.
 
-A line points to one document only. Thus the work grows with the number of lines, not with the
+A line and a pair of neighbours point to one document each. Thus the work grows with the number of lines, not with the
 square of the number of documents that share one, and no list of documents is capped.
 
 Lines are equal if they are after trimming. A blank line never matches, and ends a block. The
@@ -20,14 +22,14 @@ replaced.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from recordflow.llm.common import attach, keyed
+from recordflow.llm.common import attach, keyed, written
 from recordflow.operators.joins import same_key
 
 # No limit: as a count it would delete a line from a small table and keep it in a large one.
@@ -42,42 +44,63 @@ def _place() -> Column:
 
 
 def lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``_id, _print, line_no, digest, n_words`` of every line that isn't blank."""
+    """``_id, _print, line_no, digest, n_words, pair`` of every line that isn't blank.
+
+    ``pair`` stands for the line and the next one that isn't blank; null at the end of a text.
+    """
     docs = keyed(docs, id_column, text_column)
-    split = docs.select("_id", "_print", F.split("_text", "\n", -1).alias("_lines"))
-    line = F.trim(F.col("_line"))
+    full = F.filter(
+        F.transform(F.split("_text", "\n", -1), lambda line, i: F.struct(i.alias("line_no"), F.trim(line).alias("line"))), lambda x: x["line"] != ""
+    )
+    split = docs.select("_id", "_print", full.alias("_lines"))
+    with_next = F.zip_with("_lines", F.slice("_lines", 2, 1 << 30), lambda x, y: F.struct(x["line_no"].alias("line_no"), x["line"].alias("line"), y["line"].alias("next")))
+    line, following = F.col("_line.line"), F.col("_line.next")
     return (
-        split.select("_id", "_print", F.posexplode_outer("_lines").alias("line_no", "_line"))
-        .filter(line != "")
+        split.select("_id", "_print", F.explode(with_next).alias("_line"))
         .select(
             "_id",
             "_print",
-            "line_no",
+            "_line.line_no",
             F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit("line"), line).alias("b")).alias("digest"),
             F.regexp_count(line, F.lit(r"\S+")).alias("n_words"),
+            F.when(following.isNotNull(), F.xxhash64(F.lit("pair"), line, following)).alias("pair"),
         )
     )
 
 
 def shared_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Lines of later documents, with the earliest document's place and line number, and the spread.
+    """Lines of several documents, once a document: ``_id, _print, found`` (places), ``hub, n_texts``.
 
-    One aggregate over all lines, with a map-side part, finds the earliest document of each line;
-    it is joined back so that Spark can split a line of a third of all rows.
+    ``hub`` is the earliest document with all places of the line there. One aggregate over all
+    lines, with a map-side part, finds it; it is joined back so that Spark can split a line of a
+    third of all rows.
     """
-    every = lines(docs, id_column, text_column).withColumn("place", _place())
-    per_text = every.groupBy("_id", "_print", "digest").agg(
-        F.min("line_no").alias("line_no"), F.count("*").alias("times"), F.first("place").alias("place")
+    per_text = (
+        lines(docs, id_column, text_column)
+        .groupBy("_id", "_print", "digest")
+        .agg(F.collect_set(F.struct("line_no", "n_words", F.coalesce("pair", F.lit(0)).alias("pair"))).alias("found"))
     )
+    places = F.array_sort(F.transform("found", lambda x: x["line_no"]))
     known = (
         per_text.groupBy(F.col("digest").alias("_of"))
-        .agg(
-            F.min(F.struct("place", "line_no", "times")).alias("hub"),
-            F.count("*").alias("n_texts"),
-        )
+        .agg(F.min(F.struct(_place().alias("place"), places.alias("lines"))).alias("hub"), F.count("*").alias("n_texts"))
         .filter("n_texts > 1")
     )
-    return every.join(known, same_key(every["digest"], known["_of"])).filter(F.col("place") > F.col("hub.place"))
+    return per_text.join(known, same_key(per_text["digest"], known["_of"])).select("_id", "_print", "found", "hub", "n_texts")
+
+
+def paired_lines(shared: DataFrame) -> DataFrame:
+    """``_id, _print, paired``: lines that an earlier document has with the same line next."""
+    pairs = shared.select("_id", "_print", F.explode("found").alias("_found")).filter("_found.pair != 0").select(
+        "_id", "_print", F.col("_found.line_no").alias("paired"), F.col("_found.pair").alias("pair")
+    )
+    known = (
+        pairs.groupBy(F.col("pair").alias("_of"))
+        .agg(F.min(_place()).alias("holder"), F.max(_place()).alias("final"))
+        .filter(F.col("holder") < F.col("final"))
+        .select("_of", "holder")
+    )
+    return pairs.join(known, same_key(pairs["pair"], known["_of"])).filter(_place() > F.col("holder")).select("_id", "_print", "paired")
 
 
 def patience(later: list[int], earlier: list[int]) -> list[int]:
@@ -103,12 +126,18 @@ def patience(later: list[int], earlier: list[int]) -> list[int]:
 def aligned(rows: list[dict]) -> set[int]:
     """Line numbers of a later document that are aligned with an earlier one.
 
-    `rows`: ``line_no, hub, hub_line, times`` (how often the earlier document has the line).
+    `rows`: ``line_no, hub, hub_line, times`` (how often the earlier document has the line); where
+    known also ``hub_lines``, all its places there in order, and ``paired``, whether any earlier
+    document has it with the same line next.
     """
     found: set[int] = set()
     by_hub: dict[object, list[dict]] = {}
+    before = None
     for row in sorted(rows, key=lambda r: r["line_no"]):
         by_hub.setdefault(row["hub"], []).append(row)
+        if before and before.get("paired"):
+            found.update((before["line_no"], row["line_no"]))
+        before = row
     for pair in by_hub.values():
         once = Counter(r["hub_line"] for r in pair)
         unique = [r for r in pair if r["times"] == 1 and once[r["hub_line"]] == 1]
@@ -123,8 +152,11 @@ def aligned(rows: list[dict]) -> set[int]:
             while r["line_no"] > bounds[gap + 1][0]:
                 gap += 1
             low, high = bounds[gap][1], bounds[gap + 1][1]
-            if r["line_no"] not in taken and (r["times"] > 1 or once[r["hub_line"]] > 1) and low < r["hub_line"] < high:
-                found.add(r["line_no"])
+            if r["line_no"] not in taken and (r["times"] > 1 or once[r["hub_line"]] > 1):
+                places = r.get("hub_lines", [r["hub_line"]])
+                k = bisect_right(places, low)
+                if k < len(places) and places[k] < high:
+                    found.add(r["line_no"])
     return found
 
 
@@ -150,7 +182,23 @@ def blocks(rows: list[dict], rare_texts: int | None, min_words: int, min_lines:
     return gone
 
 
-_ROW = "array<struct<line_no:int,hub:string,hub_line:int,times:bigint,n_texts:bigint,n_words:int>>"
+def spread(rows: list[dict], paired: list[int]) -> list[dict]:
+    """One row a line, from one row a distinct line."""
+    with_next = set(paired)
+    return [
+        {
+            "line_no": x["line_no"],
+            "hub": r["hub"],
+            "hub_line": r["hub_lines"][0],
+            "hub_lines": r["hub_lines"],
+            "times": len(r["hub_lines"]),
+            "n_texts": r["n_texts"],
+            "n_words": x["n_words"],
+            "paired": x["line_no"] in with_next,
+        }
+        for r in rows
+        for x in r["found"]
+    ]
 
 
 def deletions(
@@ -164,21 +212,21 @@ def deletions(
     """``_id, _print, gone``: the line numbers, from 0, that each document loses."""
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def delete(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for found in batches:
-            yield pd.Series([blocks(list(rows), rare_texts, min_words, min_lines) for rows in found], dtype=object)
-
-    row = F.struct(
-        "line_no",
-        F.to_json("hub.place").alias("hub"),
-        F.col("hub.line_no").alias("hub_line"),
-        F.col("hub.times").alias("times"),
-        "n_texts",
-        "n_words",
+    def delete(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for found, paired in batches:
+            yield pd.Series([blocks(spread(list(r), list(p)), rare_texts, min_words, min_lines) for r, p in zip(found, paired)], dtype=object)
+
+    # Read three times below, and small: only lines of several documents.
+    shared = written(shared_lines(docs, id_column, text_column), "shared-lines")
+    row = F.struct("found", F.to_json("hub.place").alias("hub"), F.col("hub.lines").alias("hub_lines"), "n_texts")
+    later = shared.filter(_place() > F.col("hub.place")).select("_id", "_print", row.alias("row"))
+    # One text's lines: no larger than the text, and the places in earlier ones.
+    gathered = (
+        later.unionByName(paired_lines(shared), allowMissingColumns=True)
+        .groupBy("_id", "_print")
+        .agg(F.collect_set("row").alias("rows"), F.collect_set("paired").alias("paired"))
     )
-    # One text's lines: no larger than the text.
-    gathered = shared_lines(docs, id_column, text_column).groupBy("_id", "_print").agg(F.collect_set(row).alias("rows"))
-    return gathered.select("_id", "_print", F.array_sort(delete("rows")).alias("gone")).filter(F.size("gone") > 0)
+    return gathered.select("_id", "_print", F.array_sort(delete("rows", "paired")).alias("gone")).filter(F.size("gone") > 0)
 
 
 @F.pandas_udf(T.StringType())

@@ -94,5 +94,28 @@ def test_short_texts_go_however_many_copies_there_are(make_docs):
     assert gone == {i: [[0], [0, 1]][i % 2] for i in range(2, 240)}
 
 
+def test_blocks_copied_from_a_later_holder_go(make_docs):
+    a, b, c, d = (f"line {x} of the five" for x in "abcd")
+    again = "this one comes twice in both of the texts"
+    docs = make_docs(
+        "\n".join([a, b, c, d]),
+        "\n".join([d, c, b, a]),
+        "\n".join(["new before", d, c, "", b, a, "new after"]),
+        "\n".join(["first it begins with eight words of its own", again, "then the middle has eight words of its own", again]),
+        "\n".join(["then the middle has eight words of its own", again, "and an end"]),
+    )
+    gone = {r._id: r.gone for r in dedup.deletions(docs).collect()}
+    assert gone[2] == [1, 2, 4, 5] and gone[4] == [0, 1]
+
+
+def test_lines_that_repeat_are_compared_with_all_their_places():
+    row = {"hub": 0, "n_texts": 2, "n_words": 9}
+    rows = [
+        row | {"line_no": 0, "hub_line": 5, "times": 1, "hub_lines": [5]},
+        row | {"line_no": 1, "hub_line": 1, "times": 2, "hub_lines": [1, 7]},
+    ]
+    assert dedup.aligned(rows) == {0, 1}
+
+
 def test_empty_table(no_docs):
     assert dedup.report(no_docs).count() == 0
