@@ -37,9 +37,3 @@ def eav(spark):
         return spark.createDataFrame([(*r, *[None] * (6 - len(r))) for r in rows], EAV_SCHEMA)
 
     return build
-
-
-def rows(df: DataFrame, *columns: str) -> list[tuple]:
-    """Sorted rows, of some columns."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

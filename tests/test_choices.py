@@ -2,7 +2,7 @@ from collections import defaultdict
 from random import Random
 
 import pytest
-from conftest import rows
+from frame_rows import rows
 from pyspark.sql import functions as F
 
 from recordflow.operators import dedup, keys, upsert

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from frame_rows import rows
 from pyspark.sql import functions as F
 
 from recordflow.operators import codes

@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from frame_rows import rows
 from pyspark.sql import functions as F
 
 from recordflow.functions import dates, nested, text

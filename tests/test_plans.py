@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from conftest import rows
+from frame_rows import rows
 from pyspark.sql import functions as F
 
 from recordflow.operators import ledger

@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import rows
+from frame_rows import rows
 from pyspark.sql import functions as F
 
 from recordflow.session import MAX_LITERAL_ROWS, literal_table, shared_dir

@@ -1,6 +1,6 @@
 import time
 
-from conftest import rows
+from frame_rows import rows
 
 from recordflow.schemas import TRIGGER_SCHEMA
 from recordflow.session import shared_dir
