@@ -8,7 +8,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm import decontaminate, jaccard_join, license_scan, line_dedup, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
+from recordflow.llm import (
+    decontaminate,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    mixing,
+    packing,
+    prefix_trie,
+    quality_rules,
+    spelling,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 from recordflow.session import configure
 
 
@@ -73,6 +87,18 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"))
 
 
+def op11_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.report(mixing.mix(_table(spark, sf, "documents")))
+
+
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf, "conversations"))
+
+
+def op13_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(spelling.count_words(_table(spark, sf, "documents"), slips=199))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -84,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_packing": op10_packing,
+    "op11_mixing": op11_mixing,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_spelling": op13_spelling,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -95,6 +124,68 @@ _TEMPLATES = ", ".join(
 )
 _PHRASES = ", ".join(f"('{label}', {phrase.split()})" for phrase, label in license_scan.PHRASES.items())
 
+
+
+def _crc_table() -> list[int]:
+    """The checksum of each byte, by its rule."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        out.append(c)
+    return out
+
+
+def _crc32(code_bytes: str) -> str:
+    """SQL of the unsigned crc32 of a list of bytes."""
+    step = f"xor(c >> 8, {_crc_table()}[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {code_bytes}), lambda c, b: {step}), 4294967295)"
+
+
+def _utf8(text: str) -> str:
+    """SQL of the bytes of a text of characters up to U+00FF."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ord(x) AS BIGINT))"
+    return f"flatten(list_transform({codes}, lambda x: CASE WHEN x < 128 THEN [x] ELSE [192 + (x >> 6), 128 + (x & 63)] END))"
+
+
+_SIZE = r"CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT)"
+# Letters beyond ASCII as single bytes, for an edit distance that counts bytes.
+_BEYOND = "".join(chr(c) for c in range(0xC0, 0x100))
+_SINGLE = "".join(chr(c) for c in range(33, 127) if not chr(c).islower() and chr(c) != "'")[:64]
+_ROUNDS = 8
+
+
+def _mixing_sql() -> str:
+    """Targets by rounds (no more than a few change anything), then blocks in the permuted order."""
+    rounds = ["r0 AS (SELECT tot.n AS left_words, (SELECT sum(weight) FROM src) AS w FROM tot)"]
+    for k in range(1, _ROUNDS + 1):
+        over = f"weight * r{k - 1}.left_words / r{k - 1}.w >= 3 * source_size"
+        rounds.append(f"""r{k} AS (SELECT tot.n - coalesce(sum(CASE WHEN {over} THEN 3 * source_size END), 0) AS left_words,
+    coalesce(nullif(sum(CASE WHEN {over} THEN 0 ELSE weight END), 0), any_value(r{k - 1}.w)) AS w FROM src, r{k - 1}, tot GROUP BY tot.n)""")
+    return rf"""
+WITH d AS (SELECT doc_id, source, substr(md5(coalesce(text, '')), 1, 16) AS print, {_SIZE} AS size FROM documents),
+u AS (SELECT doc_id, source, print, size, count(*) AS copies FROM d GROUP BY ALL),
+sz AS (SELECT source, CAST(sum(size * copies) AS BIGINT) AS source_size FROM u GROUP BY source),
+src AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM sz),
+tot AS (SELECT CAST(coalesce(sum(source_size), 0) AS BIGINT) AS n FROM src),
+{", ".join(rounds)},
+t AS (SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), weight * left_words / w) AS target FROM src, r{_ROUNDS}),
+p AS (SELECT *, CAST(round(target) AS BIGINT) AS wanted,
+      CASE WHEN source_size > 0 THEN CAST(ceil(round(target) / source_size) AS BIGINT) ELSE 0 END AS passes FROM t),
+c AS (SELECT u.*, unnest(range(0, copies)) AS copy FROM u),
+e AS (SELECT c.*, wanted, p.source_size, unnest(range(0, passes)) AS pass FROM c JOIN p ON c.source IS NOT DISTINCT FROM p.source),
+b AS (SELECT e.*, unnest(range(0, CAST(ceil(size / 512.0) AS BIGINT))) AS block FROM e),
+o AS (SELECT *, least(512, size - 512 * block) AS words, md5(concat_ws(':', 11, pass, coalesce(CAST(doc_id AS VARCHAR), ''), print, copy, block)) AS h FROM b),
+q AS (SELECT *, wanted - pass * source_size
+      - (sum(words) OVER (PARTITION BY source, pass ORDER BY h, size ROWS UNBOUNDED PRECEDING) - words) AS more FROM o),
+k AS (SELECT doc_id, source, print, size, copy, CAST(sum(least(words, more)) AS BIGINT) AS taken FROM q WHERE more > 0 GROUP BY ALL)
+SELECT c.doc_id, c.size, t.source_size, t.target, coalesce(k.taken, 0) AS taken
+FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source
+LEFT JOIN k ON c.doc_id IS NOT DISTINCT FROM k.doc_id AND c.source IS NOT DISTINCT FROM k.source
+  AND c.print = k.print AND c.size = k.size AND c.copy = k.copy
+"""
+
+
 ORACLES: dict[str, str] = {
     "op4_license_scan": rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -150,5 +241,45 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(t, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+""",
+    "op11_mixing": _mixing_sql(),
+    "op12_prefix_trie": rf"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+        md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+      FROM conversations WHERE conv_id IS NOT NULL),
+cs AS (SELECT c, c - c % 20 AS base, {_crc32(_utf8("CAST(c AS VARCHAR)"))} % 4 AS h FROM (SELECT DISTINCT c FROM t)),
+x AS (SELECT cs.c, t.i, t.role, t.text FROM cs JOIN t ON t.c = cs.base AND t.i <= cs.h
+      UNION ALL SELECT cs.c, 4 + t.i, t.role, t.text FROM cs JOIN t ON t.c = cs.c AND t.i > cs.h),
+s AS (SELECT c, list({{'role': role, 'text': text}} ORDER BY i) AS seq FROM x GROUP BY c),
+a AS (SELECT cs.c, coalesce(seq, []) AS seq FROM cs LEFT JOIN s USING (c)),
+p AS (SELECT c, seq, unnest(range(0, len(seq) + 1)) AS d FROM a),
+k AS (SELECT c, d, seq[1:d] AS key, seq[1:greatest(d - 1, 0)] AS up, d = len(seq) AS whole FROM p),
+n AS (SELECT d, key, any_value(up) AS up, min(c) AS conv_id, count(*) AS n,
+      coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE whole), '') AS ends FROM k GROUP BY d, key),
+w AS (SELECT *, CASE WHEN d = 0 THEN 0 ELSE (n - 1) * len(regexp_extract_all(key[d].text, '[^\x20\x09-\x0D]+')) END AS v FROM n),
+ch AS (SELECT d - 1 AS d, up AS key, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+sub AS (SELECT b.d, b.key, sum(w.v) AS saved, count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM ch WHERE ch.d = w.d AND ch.key = w.key)) AS leaves
+        FROM w JOIN (SELECT d, key FROM n) b ON w.d >= b.d AND w.key[1:b.d] = b.key GROUP BY b.d, b.key)
+SELECT w.conv_id, w.d AS depth, pa.conv_id AS parent_conv_id, w.n AS n_convs, CAST(coalesce(ch.n_children, 0) AS BIGINT) AS n_children,
+       CAST(sub.leaves AS BIGINT) AS n_leaves, CAST(sub.saved AS BIGINT) AS saved_tokens, sha256(w.ends) AS ends_sha256
+FROM w LEFT JOIN ch ON ch.d = w.d AND ch.key = w.key LEFT JOIN sub ON sub.d = w.d AND sub.key = w.key
+LEFT JOIN n pa ON w.d > 0 AND pa.d = w.d - 1 AND pa.key = w.up
+""",
+    "op13_spelling": rf"""
+WITH RECURSIVE r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{{6,}}')) AS run FROM documents),
+l AS (SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS times FROM r GROUP BY ALL),
+h AS (SELECT w, times, {_crc32(_utf8("id || ':' || w"))} AS h FROM l),
+g AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, times FROM h),
+v AS (SELECT word, CAST(sum(times) AS BIGINT) AS n, length(word) AS size, translate(word, '{_BEYOND}', '{_SINGLE}') AS plain
+      FROM g WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+e AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM v a JOIN v b ON b.size = a.size WHERE levenshtein(a.plain, b.plain) = 1
+      UNION ALL SELECT a.word, a.n, b.word, b.n FROM v a JOIN v b ON b.size = a.size + 1 WHERE levenshtein(a.plain, b.plain) = 1
+      UNION ALL SELECT a.word, a.n, b.word, b.n FROM v a JOIN v b ON b.size = a.size - 1 WHERE levenshtein(a.plain, b.plain) = 1),
+best AS (SELECT word, count(*) AS n_near, list({{'n': -other_n, 'w': other}} ORDER BY -other_n, other)[1] AS top FROM e GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -top.n >= 5 * v.n THEN top.w END AS form,
+      CASE WHEN -top.n >= 5 * v.n THEN -top.n END AS form_n FROM v LEFT JOIN best USING (word)),
+way AS (SELECT word, word AS here, 0 AS step FROM f UNION ALL SELECT way.word, f.form, step + 1 FROM way JOIN f ON f.word = way.here WHERE f.form IS NOT NULL)
+SELECT word, form, (SELECT arg_max(here, step) FROM way WHERE way.word = f.word) AS root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n FROM f
 """,
 }
