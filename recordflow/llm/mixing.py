@@ -24,7 +24,7 @@ others can't clash.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -43,8 +43,8 @@ SEED = 11
 ATTEMPTS = 64
 # Fixed values of the ratio-of-uniforms method: 2 * sqrt(2 / e) and 3 - 2 * sqrt(3 / e).
 WIDTH, OFFSET = 1.7155277699214135, 0.8989161620588988
-# Nodes of the tree in one task until they are dealt out.
-LEVELS_AT_ONCE = 6
+# So many levels of the tree are one plan; then its nodes are written and dealt out to tasks.
+LEVELS_AT_ONCE = 3
 KEY = ("_id", "_source", "_print", "_size")
 
 
@@ -96,49 +96,68 @@ def _uniform(*parts: Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") + 0.5) / float(1 << 53)
 
 
+def _named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is worked out once, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _struct(**columns: Column) -> Column:
+    return F.struct(*[c.alias(n) for n, c in columns.items()])
+
+
 def log_factorial(n: Column) -> Column:
-    """By Stirling's series at n + 8."""
-    x = n + 8.0
-    series = (x - 0.5) * F.log(x) - x + 0.9189385332046727 + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
-    # log Gamma(n + 8), less the factors from n + 1 to n + 7: that is log n!
-    factors = n + 1.0
-    for k in range(2, 8):
-        factors = factors * (n + float(k))
-    return series - F.log(factors)
+    """By Stirling's series at n + 8, less the logarithms of n + 1 to n + 7."""
+
+    def series(x: Column) -> Column:
+        return (x - 0.5) * F.log(x) - x + 0.9189385332046727 + (1 / 12.0 - (1 / 360.0 - 1 / (1260 * x * x)) / (x * x)) / x
+
+    factors = F.aggregate(F.sequence(F.lit(1), F.lit(7)), F.lit(1.0), lambda product, k: product * (n + k))
+    return _named(n + 8.0, series) - F.log(factors)
 
 
 def hypergeometric(good: Column, bad: Column, drawn: Column, *seed: Column) -> Column:
     """How many of `drawn` are good, without replacement: ratio of uniforms over the symmetric half."""
-    few, many, all_ = F.least(good, bad), F.greatest(good, bad), good + bad
-    m = F.least(drawn, all_ - drawn)
-    share = few / all_
-    centre = m * share + 0.5
-    spread = F.sqrt((all_ - m) * drawn * share * (1 - share) / F.greatest(all_ - 1, F.lit(1)) + 0.5)
-    width = WIDTH * spread + OFFSET
-    mode = F.floor((m + 1) * ((few + 1) / (all_ + 2)))
-    known = F.struct(
-        *[c.cast("double").alias(n) for n, c in {"few": few, "many": many, "m": m, "centre": centre, "width": width, "mode": mode}.items()]
-    )
 
-    def logs(k: dict[str, Column] | Column, z: Column) -> Column:
-        return sum((log_factorial(x) for x in (k["few"] - z, k["m"] - z, k["many"] - k["m"] + z)), log_factorial(z))
+    def logs(k: Column, z: Column) -> Column:
+        parts = F.array(z, k["few"] - z, k["m"] - z, k["many"] - k["m"] + z)
+        return F.aggregate(parts, F.lit(0.0), lambda total, n: total + log_factorial(n))
+
+    def halves(a: Column) -> Column:
+        """The case with few good ones and few draws, to which the others are symmetric."""
+        few, all_ = F.least(a["good"], a["bad"]), a["good"] + a["bad"]
+        return _struct(few=few, many=all_ - few, all=all_, m=F.least(a["drawn"], all_ - a["drawn"]))
+
+    def shape(h: Column) -> Column:
+        share = h["few"] / h["all"]
+        spread = F.sqrt((h["all"] - h["m"]) * h["m"] * share * (1 - share) / F.greatest(h["all"] - 1, F.lit(1.0)) + 0.5)
+        mode = F.floor((h["m"] + 1) * ((h["few"] + 1) / (h["all"] + 2))).cast("double")
+        return _struct(
+            few=h["few"], many=h["many"], m=h["m"], mode=mode, centre=h["m"] * share + 0.5, width=WIDTH * spread + OFFSET, top=logs(h, mode)
+        )
 
     def attempt(k: Column, i: Column) -> Column:
+        def judged(t: Column) -> Column:
+            inside = (t["z"] >= 0) & (t["z"] <= F.least(k["m"], k["few"]))
+            return F.when(inside & (2 * F.log(t["x"]) <= k["top"] - logs(k, t["z"])), t["z"]).otherwise(F.lit(-1.0))
+
         x, y = _uniform(*seed, i, F.lit("x")), _uniform(*seed, i, F.lit("y"))
-        w = k["centre"] + k["width"] * (y - 0.5) / x
-        z = F.floor(w).cast("double")
-        inside = (w >= 0) & (z <= F.least(k["m"], k["few"]))
-        return F.when(inside & (2 * F.log(x) <= logs(k, k["mode"]) - logs(k, z)), z).otherwise(F.lit(-1.0))
+        return _named(_struct(x=x, y=y), lambda u: _named(
+            _struct(x=u["x"], z=F.floor(k["centre"] + k["width"] * (u["y"] - 0.5) / u["x"]).cast("double")), judged
+        ))
+
+    def found(k: Column) -> Column:
+        z = F.aggregate(F.sequence(F.lit(1), F.lit(ATTEMPTS)), F.lit(-1.0), lambda z, i: F.when(z >= 0, z).otherwise(attempt(k, i)))
+        return _named(z, lambda z: F.when(z >= 0, z).otherwise(k["mode"]))
 
-    # A one-element array gives the parameters a name, so each is worked out once.
-    def drawn_of(k: Column) -> Column:
-        found = F.aggregate(F.sequence(F.lit(1), F.lit(ATTEMPTS)), F.lit(-1.0), lambda z, i: F.when(z >= 0, z).otherwise(attempt(k, i)))
-        return F.when(found >= 0, found).otherwise(k["mode"])
+    def turned(a: Column) -> Column:
+        m = F.least(a["drawn"], a["good"] + a["bad"] - a["drawn"])
+        few = _named(_named(_named(a, halves), shape), found)
+        of_few = _named(few, lambda z: F.when(a["good"] > a["bad"], m - z).otherwise(z))
+        of_all = _named(of_few, lambda z: F.when(m < a["drawn"], a["good"] - z).otherwise(z))
+        simple = F.when((a["good"] == 0) | (a["drawn"] == 0), F.lit(0.0)).when(a["bad"] == 0, a["drawn"])
+        return simple.when(a["drawn"] == a["good"] + a["bad"], a["good"]).otherwise(of_all).cast("long")
 
-    z = F.get(F.transform(F.array(known), drawn_of), F.lit(0)).cast("long")
-    z = F.when(good > bad, m - z).otherwise(z)
-    z = F.when(m < drawn, good - z).otherwise(z)
-    return F.when((good == 0) | (drawn == 0), F.lit(0)).when(bad == 0, drawn).when(drawn == all_, good).otherwise(z).cast("long")
+    return _named(_struct(good=good.cast("double"), bad=bad.cast("double"), drawn=drawn.cast("double")), turned)
 
 
 def split_quotas(quotas: DataFrame, shards: int, size: int, seed: int = SEED) -> DataFrame:
@@ -157,13 +176,9 @@ def split_quotas(quotas: DataFrame, shards: int, size: int, seed: int = SEED) ->
         """One source after the other: its share of what the left half still lacks."""
         rest = state["rest"] - source["q"]
         x = hypergeometric(source["q"], rest, state["lacks"], F.lit(seed), F.col("low"), F.col("high"), source["s"])
-        # The draw is named once, then used three times.
-        step = F.transform(F.array(x), lambda n: F.struct(
-            rest.alias("rest"),
-            (state["lacks"] - n).alias("lacks"),
-            F.concat(state["out"], F.array(F.struct(source["s"].alias("s"), n.alias("q")))).alias("out"),
+        return _named(x, lambda n: _struct(
+            rest=rest, lacks=state["lacks"] - n, out=F.concat(state["out"], F.array(_struct(s=source["s"], q=n)))
         ))
-        return F.get(step, F.lit(0))
 
     levels = max(0, (shards - 1).bit_length())
     for level in range(levels):
