@@ -280,7 +280,8 @@ def mix(
     slots = ranges.select(
         "shard", F.col("_s").alias("_slot_s"), F.explode(F.sequence(F.col("first"), F.col("first") + F.col("q") - 1)).alias("_slot")
     )
-    drawn = blocks.join(slots, (blocks["_s"] == slots["_slot_s"]) & (blocks["number"] == slots["_slot"]))
+    # Spark takes the exploded side for as small as its file, and would broadcast it.
+    drawn = blocks.join(slots.hint("merge"), (blocks["_s"] == slots["_slot_s"]) & (blocks["number"] == slots["_slot"]))
     shuffled = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), F.lit("place"), "_s", "number"), "_s", "number")
     drawn = drawn.select(
         "shard",
