@@ -7,8 +7,11 @@ n-grams with the word it comes from.
 
 The model is fitted on a bounded sample (``SAMPLE_ROWS`` labelled texts); every whole text is
 scored, word by word through a bounded cache, since a linear output of a mean is the mean of the
-words' outputs. Null and empty texts, and texts without words, get the score of the bias alone.
-Repeated rows and null IDs are scored like any others. Without labels of both kinds every score
+words' outputs. The bias is set so that a score of 0.5 is the best cut on a fourth of the sample, which
+is not trained on.
+
+Null and empty texts, and texts without words, get the score of the bias alone.
+Repeated rows and null IDs are scored like any others; a null ID is held out. Without labels of both kinds every score
 is 0. Columns of the results' names are replaced.
 """
 
@@ -18,8 +21,9 @@ import math
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -27,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from recordflow.llm.common import bounded_sample
 
-SAMPLE_ROWS = 4_000
+SAMPLE_ROWS = 5_000
 BUCKETS = 1 << 20
 SIZE = 8
 GRAMS = (3, 5)
@@ -39,6 +43,11 @@ LEAST_SHARE, LEAST_TEXTS = 0.02, 5
 # A text counts as if it had so many words without a sign more, or a short one would say too much.
 EMPTY_WORDS = 10
 CACHE_WORDS = 200_000
+# The cut lets at most this share of clean texts through to the rejected; below that, an alarm
+# weighs as much as so many toxic texts missed.
+MOST_ALARMS, ALARM_WEIGHT = 0.02, 4.0
+# This share of the words of training have no sign, whatever their output.
+QUIET = 0.99
 # So many vectors are gathered at once in training.
 GATHERED = 1 << 18
 EDGES = ".,;:!?\"'()[]"
@@ -60,19 +69,55 @@ def buckets_of(word: str, buckets: int = BUCKETS, grams: tuple[int, int] = GRAMS
 
 @dataclass(frozen=True)
 class Model:
-    """One output per bucket (the embeddings times the softmax weights), and the bias."""
+    """One output per bucket (the embeddings times the softmax weights), and the bias.
+
+    A word's output counts by how far it is above `floor`: a long text's many words without a
+    sign would otherwise outweigh the few with one.
+    """
 
     outputs: np.ndarray
     bias: float
+    floor: float = 0.0
 
-    def word(self, word: str) -> float:
-        return float(self.outputs[buckets_of(word, len(self.outputs))].mean())
+    @cached_property
+    def known(self) -> dict[int, float]:
+        """The outputs that aren't 0."""
+        there = np.flatnonzero(self.outputs)
+        return dict(zip(there.tolist(), self.outputs[there].tolist()))
 
-    def score(self, text: str | None, word=None) -> float:
-        words = words_of(text)
-        margin = self.bias + math.fsum(map(word or self.word, words)) / (len(words) + EMPTY_WORDS)
+    def word(self, word: str) -> float:
+        buckets = buckets_of(word, len(self.outputs))
+        return max(0.0, math.fsum(self.known.get(b, 0.0) for b in buckets) / len(buckets) - self.floor)
+
+    def margin(self, bag: Iterable[tuple[str, int]], word: Callable[[str], float]) -> float:
+        """Of words and counts."""
+        bag = list(bag)
+        return self.bias + math.fsum(n * word(w) for w, n in bag) / (sum(n for _, n in bag) + EMPTY_WORDS)
+
+    def score(self, text: str | None, outputs: Callable[[str], float | None] | None = None) -> float:
+        """`outputs`: of a token, the output of its word; None if it has no word in it."""
+        found = [v for v in map(outputs or self.token, (text or "").split()) if v is not None]
+        margin = self.bias + math.fsum(found) / (len(found) + EMPTY_WORDS)
         return 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, margin))))
 
+    def token(self, token: str, word: Callable[[str], float] | None = None) -> float | None:
+        bare = token.lower().strip(EDGES)
+        return (word or self.word)(bare) if bare else None
+
+
+class Kept(dict):
+    """Values of a function, a bounded number of them."""
+
+    def __init__(self, function: Callable, limit: int = CACHE_WORDS):
+        super().__init__()
+        self.function, self.limit = function, limit
+
+    def __missing__(self, key: str):
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[key] = self.function(key)
+        return value
+
 
 class _Sums:
     """Weighted means of rows by group, and gradients of the means back to the rows.
@@ -180,13 +225,40 @@ def train(
     margin = out[:, 1] - out[:, 0]
     outputs = np.zeros(buckets, np.float32)
     outputs[known] = (scale * (table @ margin)[:, None])[place[known], 0]
-    prior = float(np.log(y.mean() / (1 - y.mean())))
-    return Model(outputs, float(bias[1] - bias[0]) + 0.5 * prior)
+    words = subwords.mean(scale * (table @ margin)[:, None])[:, 0]
+    floor = max(0.0, float(np.quantile(words, QUIET)))
+    margins = docs.mean(np.maximum(0, words - floor)[:, None])[:, 0]
+    return Model(outputs, -best_cut(margins, y > 0), floor)
+
+
+def best_cut(margins: np.ndarray, toxic: np.ndarray, most: float = MOST_ALARMS, weight: float = ALARM_WEIGHT) -> float:
+    """The cut with the least share of toxic texts under it plus `weight` times the clean share at or over it.
+
+    That clean share is at most `most`.
+    """
+    clean, bad = np.sort(margins[~toxic]), np.sort(margins[toxic])
+    cuts = np.unique(np.concatenate([margins, [margins.max() + 1.0]]))
+    alarms = 1 - np.searchsorted(clean, cuts) / len(clean)
+    missed = np.searchsorted(bad, cuts) / len(bad)
+    cost = np.where(alarms <= most, missed + weight * alarms, np.inf)
+    at = int(cost.argmin())
+    return float((cuts[at] + (cuts[at - 1] if at else cuts[at])) / 2)
+
+
+def train_calibrated(bags: list[list[tuple[str, int]]], toxic: np.ndarray) -> Model:
+    """A model of all bags but each fourth, its bias moved to the best cut on those."""
+    aside = np.arange(len(bags)) % 4 == 0
+    if any(len(np.unique(toxic[part])) < 2 for part in (aside, ~aside)):
+        return train(bags, toxic)
+    model = train([b for b, out in zip(bags, aside) if not out], toxic[~aside])
+    word = Kept(model.word).__getitem__
+    margins = np.array([model.margin(bags[i], word) for i in np.flatnonzero(aside)])
+    return replace(model, bias=model.bias - best_cut(margins, toxic[aside]))
 
 
 def fold(id_column: str) -> Column:
     """0 for held-out documents, else 1 to 4."""
-    return F.pmod(F.crc32(F.col(id_column).cast("string").cast("binary")), F.lit(5))
+    return F.coalesce(F.pmod(F.crc32(F.col(id_column).cast("string").cast("binary")), F.lit(5)), F.lit(0))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
@@ -205,8 +277,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
 
     found = texts.join(F.broadcast(sample), "_id").select("_id", "_label", bag("_text").alias("_bag")).collect()
     found.sort(key=lambda r: (r["_id"], r["_label"], r["_bag"]["words"]))
-    bags = (list(zip(r["_bag"]["words"].split(), r["_bag"]["counts"])) for r in found)
-    return train(bags, np.array([r["_label"] == 1 for r in found]))
+    bags = [list(zip(r["_bag"]["words"].split(), r["_bag"]["counts"])) for r in found]
+    return train_calibrated(bags, np.array([r["_label"] == 1 for r in found], dtype=bool))
 
 
 def score(docs: DataFrame, model: Model, text_column: str = "text", score_column: str = "score") -> DataFrame:
@@ -216,17 +288,10 @@ def score(docs: DataFrame, model: Model, text_column: str = "text", score_column
     @F.pandas_udf(T.DoubleType())
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = shared.value
-
-        class Known(dict):
-            def __missing__(self, word: str) -> float:
-                if len(self) >= CACHE_WORDS:
-                    self.clear()
-                value = self[word] = model.word(word)
-                return value
-
-        word = Known().__getitem__
+        word = Kept(model.word).__getitem__
+        outputs = Kept(lambda token: model.token(token, word)).__getitem__
         for texts in batches:
-            yield texts.map(lambda t: model.score(t, word)).astype("float64")
+            yield texts.map(lambda t: model.score(t, outputs)).astype("float64")
 
     return docs.withColumn(score_column, scored(F.coalesce(F.col(text_column), F.lit(""))))
 
