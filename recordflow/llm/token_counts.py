@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
+from recordflow.llm.common import written
+
 FREQUENT_SHARE = 200_000
 CACHE_ENTRIES = 200_000
 # A task reports its commonest pre-tokens; the rest can't be frequent in many tasks.
@@ -114,7 +116,8 @@ def frequent_pretokens(docs: DataFrame, path: str, pattern: str, text_column: st
             ["token", "n"],
         )
 
-    counted = docs.select(text_column).mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    # Read twice, and at most the rows that tasks report: written, or all texts would be split twice.
+    counted = written(docs.select(text_column).mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n")), "pretokens")
     total = counted.filter(F.col("token").isNull()).select(F.col("n").alias("total"))
     return counted.filter(F.col("token").isNotNull()).join(F.broadcast(total), F.col("n") * share >= F.col("total")).select("token", "n")
 
