@@ -24,13 +24,13 @@ from collections.abc import Iterator
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from recordflow.llm.common import attach, keyed
 from recordflow.operators.joins import same_key
 
 MIN_WORDS = 6
-PRINT_CHARS = 20  # 80 bits tell apart the texts of one ID; every run carries them
+PRINT_CHARS = 16  # 64 bits, a number, tell apart the texts of one ID; every run carries them
 OUT_ROWS = 20_000  # runs handed over at a time; bounds a worker's memory
 UNIT = regex.compile(r"[^\n.!?]*[.!?]+[^\S\n]*\n?|[^\n.!?]+\n?|\n")
 UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
@@ -74,9 +74,15 @@ def digests(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, b
         yield spans[first][0], spans[last][1], hashlib.blake2b(text_of, digest_size=12).digest()
 
 
+def _number(print_: Column) -> Column:
+    """16 hexadecimal digits as a signed number; ``hex`` turns it back."""
+    high, low = (F.conv(F.substring(print_, at, 8), 16, 10).cast("long") for at in (1, 9))
+    return F.shiftleft(high, 32).bitwiseOR(low)
+
+
 def units(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``_id, _print, start, stop, digest`` of every run of units to compare; prints are cut to bytes."""
-    docs = keyed(docs, id_column, text_column).withColumn("_print", F.unhex(F.substring("_print", 1, PRINT_CHARS)))
+    """``_id, _print, start, stop, digest`` of every run of units to compare; prints are cut to a number."""
+    docs = keyed(docs, id_column, text_column).withColumn("_print", _number(F.substring("_print", 1, PRINT_CHARS)))
     kind = docs.schema["_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +107,7 @@ def units(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                     rows, starts, stops, found = [], [], [], []
             yield gathered()
 
-    return docs.mapInArrow(cut, f"_id {kind}, _print binary, start int, stop int, digest binary")
+    return docs.mapInArrow(cut, f"_id {kind}, _print long, start int, stop int, digest binary")
 
 
 def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -112,22 +118,22 @@ def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """
     found = units(docs, id_column, text_column, min_words)
     place = F.struct(
-        F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("start").alias("start"), F.col("stop").alias("stop"), F.xxhash64("_print").alias("doc")
+        F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("start").alias("start"), F.col("stop").alias("stop"), F.col("_print").alias("doc")
     )
     first = (
         found.groupBy(F.col("digest").alias("first_digest"))
-        .agg(F.min(place).alias("first"), F.max(place).alias("final"))
-        .filter(F.col("first") < F.col("final"))
+        .agg(F.min(place).alias("first"), F.count("*").alias("times"))
+        .filter("times > 1")
         .select("first_digest", "first")
     )
-    same_text = F.col("_id").eqNullSafe(F.col("first.id")) & (F.xxhash64("_print") == F.col("first.doc"))
+    same_text = F.col("_id").eqNullSafe(F.col("first.id")) & (F.col("_print") == F.col("first.doc"))
     later = found.join(first, same_key(found["digest"], first["first_digest"])).filter(
         (place > F.col("first")) & ~(same_text & (F.col("start") < F.col("first.stop")))
     )
     return (
         later.groupBy("_id", "_print")
         .agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("runs"))
-        .withColumn("_print", F.lower(F.hex("_print")))
+        .withColumn("_print", F.lpad(F.lower(F.hex("_print")), PRINT_CHARS, "0"))
     )
 
 
