@@ -21,7 +21,7 @@ import math
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import cached_property
 
@@ -245,14 +245,17 @@ def best_cut(margins: np.ndarray, toxic: np.ndarray, most: float = MOST_ALARMS,
     return float((cuts[at] + (cuts[at - 1] if at else cuts[at])) / 2)
 
 
-def train_calibrated(bags: list[list[tuple[str, int]]], toxic: np.ndarray) -> Model:
-    """A model of all bags but each fourth, its bias moved to the best cut on those."""
-    aside = np.arange(len(bags)) % 4 == 0
+def train_calibrated(rows: Sequence, toxic: np.ndarray, bag: Callable[..., list[tuple[str, int]]] = list) -> Model:
+    """A model of all rows but each fourth, its bias moved to the best cut on those.
+
+    `bag` makes a row's words and counts; only one row's are there at a time.
+    """
+    aside = np.arange(len(rows)) % 4 == 0
     if any(len(np.unique(toxic[part])) < 2 for part in (aside, ~aside)):
-        return train(bags, toxic)
-    model = train([b for b, out in zip(bags, aside) if not out], toxic[~aside])
+        return train(map(bag, rows), toxic)
+    model = train((bag(r) for r, out in zip(rows, aside) if not out), toxic[~aside])
     word = Kept(model.word).__getitem__
-    margins = np.array([model.margin(bags[i], word) for i in np.flatnonzero(aside)])
+    margins = np.array([model.margin(bag(rows[i]), word) for i in np.flatnonzero(aside)])
     return replace(model, bias=model.bias - best_cut(margins, toxic[aside]))
 
 
@@ -277,8 +280,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
 
     found = texts.join(F.broadcast(sample), "_id").select("_id", "_label", bag("_text").alias("_bag")).collect()
     found.sort(key=lambda r: (r["_id"], r["_label"], r["_bag"]["words"]))
-    bags = [list(zip(r["_bag"]["words"].split(), r["_bag"]["counts"])) for r in found]
-    return train_calibrated(bags, np.array([r["_label"] == 1 for r in found], dtype=bool))
+    toxic = np.array([r["_label"] == 1 for r in found], dtype=bool)
+    return train_calibrated(found, toxic, lambda r: list(zip(r["_bag"]["words"].split(), r["_bag"]["counts"])))
 
 
 def score(docs: DataFrame, model: Model, text_column: str = "text", score_column: str = "score") -> DataFrame:
