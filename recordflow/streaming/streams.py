@@ -11,9 +11,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from recordflow.functions.nested import both_spellings, either_spelling
 from recordflow.functions.text import sanitize
 from recordflow.operators.joins import only_keys, same_key
-from recordflow.operators.ledger import BATCH, Ledger
+from recordflow.operators.ledger import BATCH, Ledger, entries
 from recordflow.plans.alerts import parsed_alerts, rejected_alerts, split_alerts
 from recordflow.schemas import ALERT_SCHEMA, RECORD, TRIGGER_SCHEMA
+from recordflow.sources.journal import BucketedTable, Output
 
 CORRUPT = "_corrupt_record"
 
@@ -86,6 +87,53 @@ def write_batch(rows: DataFrame, path: str, batch: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
 
 
+def coded_batch(alerts: DataFrame, dictionary: DataFrame, context: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Coded rows of a batch of alerts, and ``record, field_name, value, reason`` of what can't be pushed."""
+    coded, rejected = split_alerts(parsed_alerts(alerts), dictionary, context)
+    malformed = alerts.where(F.col(CORRUPT).isNotNull()) if CORRUPT in alerts.columns else alerts.limit(0)
+    raw = sanitize(F.col(CORRUPT)) if CORRUPT in alerts.columns else F.lit(None).cast("string")
+    nothing = F.lit(None).cast("string")
+    unreadable = rejected_alerts(alerts).select(
+        F.col("secretId").alias("record"), nothing.alias("field_name"), sanitize(F.col("message")).alias("value"), F.lit("unreadable").alias("reason")
+    )
+    broken = malformed.select(nothing.alias("record"), nothing.alias("field_name"), raw.alias("value"), F.lit("malformed").alias("reason"))
+    return coded, rejected.unionByName(unreadable).unionByName(broken)
+
+
+def alert_merger(
+    dictionary: DataFrame,
+    context: DataFrame,
+    table: BucketedTable,
+    keys: bool = True,
+    clock: Callable[[], datetime] = lambda: datetime.now(UTC),
+) -> Callable[[DataFrame, int], None]:
+    """Handler that merges the coded alerts of a batch into a long table.
+
+    The batch is a run of the table's journal, under its number: a later answer for a key takes
+    the place of an earlier one, and a batch that is repeated after its commit changes nothing,
+    whenever the failure came. Rejected messages (``rejected``) and the keys of what was handled
+    (``ledger``, from ``cache_key``) are outputs of the same run.
+    """
+    journal = table.journal
+
+    def handle(batch: DataFrame, number: int) -> None:
+        run, now = f"batch-{number}", clock()
+        if journal.committed(run):
+            return
+        held = batch.persist()
+        try:
+            coded, rejected = coded_batch(held, dictionary, context)
+            writes = {table.name: table.push(coded), "rejected": Output(journal, "rejected").write(rejected)}
+            if keys and "cache_key" in held.columns:
+                handled = entries(held.select("cache_key").dropna(), table.name, now, {BATCH: run})
+                writes["ledger"] = Output(journal, "ledger").write(handled)
+            journal.run(run, writes, now)
+        finally:
+            held.unpersist()
+
+    return handle
+
+
 def alert_handler(
     dictionary: DataFrame,
     context: DataFrame,
@@ -104,16 +152,9 @@ def alert_handler(
     letters = dead or f"{out.rstrip('/')}-dead"
 
     def push(alerts: DataFrame, number: int) -> None:
-        coded, rejected = split_alerts(parsed_alerts(alerts), dictionary, context)
+        coded, rejected = coded_batch(alerts, dictionary, context)
         write_batch(coded, out, number)
-        malformed = alerts.where(F.col(CORRUPT).isNotNull()) if CORRUPT in alerts.columns else alerts.limit(0)
-        raw = sanitize(F.col(CORRUPT)) if CORRUPT in alerts.columns else F.lit(None).cast("string")
-        nothing = F.lit(None).cast("string")
-        unreadable = rejected_alerts(alerts).select(
-            F.col("secretId").alias("record"), nothing.alias("field_name"), sanitize(F.col("message")).alias("value"), F.lit("unreadable").alias("reason")
-        )
-        broken = malformed.select(nothing.alias("record"), nothing.alias("field_name"), raw.alias("value"), F.lit("malformed").alias("reason"))
-        write_batch(rejected.unionByName(unreadable).unionByName(broken), letters, number)
+        write_batch(rejected, letters, number)
 
     def handle(batch: DataFrame, number: int) -> None:
         held = batch.persist()
