@@ -94,8 +94,9 @@ def _sql(
             rows = f"SELECT DISTINCT {picked} FROM ({ENTRIES[name].sql}) WHERE value IS NOT NULL AND value <> ''"
         with_.append(f"{name} AS MATERIALIZED ({rows})")
         parts.append(f"SELECT '{name}' AS target, {text(columns)} AS line FROM {name}")
-        lines.append(f"SELECT 'journal', '2|run-2|{name}|' || (SELECT count(*) FROM {name})")
-        counts.append(f"(SELECT count(*) FROM {name})")
+        given = f"(SELECT count(*) FROM ({ENTRIES[name].sql}))"
+        lines.append(f"SELECT 'journal', '2|run-2|{name}|' || {given}")
+        counts.append(given)
         if name in pushes:
             # The first run pushes records by a checksum; how many is for its own line, compared apart.
             lines.append(f"SELECT 'journal', '1|run-1|{name}'")

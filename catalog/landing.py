@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from catalog.base import ORDERS_FLAT, iso, orders_flat, query, table, text
+from catalog.base import ENTRIES, ORDERS_FLAT, iso, orders_flat, query, table, text
 from recordflow import schemas
 from recordflow.functions.nested import camel_case
 from recordflow.functions.text import with_composite_key
@@ -17,6 +17,7 @@ from recordflow.operators import ledger
 from recordflow.plans import alerts
 from recordflow.session import shared_dir
 from recordflow.sources import scan, sink
+from recordflow.sources.journal import BucketedTable, Journal
 from recordflow.streaming import streams
 
 
@@ -232,6 +233,27 @@ def stream_alerts_ledger(spark: SparkSession, sf: str) -> DataFrame:
     return sink.read_back(spark, out).drop("batch")
 
 
+@query(f"""
+SELECT DISTINCT record, field_name, value, redcap_event_name FROM ({CODED.format("")})
+""")
+def stream_alerts_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """First every answer comes as High, then as it is; the second batch is given once more at the end, with the first's answers."""
+    dictionary, context = alert_context(spark, sf)
+    messages = alert_messages(spark, sf)
+    early = messages.withColumn("message", F.replace("message", F.lit("\" low \""), F.lit("\"High\"")))
+    source = _staged(early, "alerts")
+    journal = Journal(spark, shared_dir(spark, "merged"))
+    merged = BucketedTable.long(journal, "alerts", T.StructType.fromDDL("record string, field_name string, value string, redcap_event_name string"), buckets=8)
+    handle = streams.alert_merger(dictionary, context, merged, clock=lambda: datetime(2024, 2, 1))
+    checkpoint = shared_dir(spark, "checkpoint")
+    for rows in (messages, None):
+        streams.run_available(streams.per_batch(streams.alert_stream(spark, source), handle, checkpoint))
+        if rows is not None:
+            rows.write.mode("append").json(source)
+    handle(camel_case(early), 1)
+    return merged.read()
+
+
 @query(CODED.format(""))
 def alert_both_spellings(spark: SparkSession, sf: str) -> DataFrame:
     """Every second message comes in camelCase."""
@@ -328,14 +350,8 @@ def stream_dead_letter(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-@query("""
-SELECT DISTINCT v.event_id, CASE WHEN e.event_id IS NULL THEN 'no' ELSE 'yes' END AS alert
-FROM events v LEFT JOIN events e ON e.event_type = 'error' AND v.user_id = e.user_id
-  AND e.ts BETWEEN v.ts AND v.ts + INTERVAL 6 HOUR
-WHERE v.event_type = 'view'
-""")
-def stream_wait_default(spark: SparkSession, sf: str) -> DataFrame:
-    """Views wait six hours for an error of the same user; a last message on each side closes the wait."""
+def _waiting_sides(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Streams of views and errors, each with a last message that closes all waits."""
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", iso("ts").alias("at"))
     closing = events.agg(
         F.lit(-1).cast("bigint").alias("event_id"), F.lit(-1).cast("bigint").alias("user_id"),
@@ -346,6 +362,18 @@ def stream_wait_default(spark: SparkSession, sf: str) -> DataFrame:
         rows = events.where(F.col("event_type") == kind).drop("event_type").unionByName(closing)
         stream = streams.read_messages(spark, _staged(rows, kind), "event_id bigint, user_id bigint, at timestamp")
         sides[kind] = stream.drop(streams.CORRUPT)
+    return sides
+
+
+@query("""
+SELECT DISTINCT v.event_id, CASE WHEN e.event_id IS NULL THEN 'no' ELSE 'yes' END AS alert
+FROM events v LEFT JOIN events e ON e.event_type = 'error' AND v.user_id = e.user_id
+  AND e.ts BETWEEN v.ts AND v.ts + INTERVAL 6 HOUR
+WHERE v.event_type = 'view'
+""")
+def stream_wait_default(spark: SparkSession, sf: str) -> DataFrame:
+    """Views wait six hours for an error of the same user; a last message on each side closes the wait."""
+    sides = _waiting_sides(spark, sf)
     joined = streams.wait_for_positives(
         sides["view"], sides["error"].withColumnRenamed("at", "error_at"), "user_id", "at", "error_at", "6 hours", "1 minute"
     )
@@ -380,3 +408,32 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     writer = once.writeStream.format("parquet").option("path", out)
     streams.run_available(writer.option("checkpointLocation", shared_dir(spark, "checkpoint")))
     return spark.read.parquet(out)
+
+
+@query(ENTRIES["wait_default"].sql)
+def stream_wait_first(spark: SparkSession, sf: str) -> DataFrame:
+    """As on tables: each view comes out once, and errors before it count; the first day's are in the target."""
+    sides = _waiting_sides(spark, sf)
+    errors = table(spark, sf, "events").where("event_type = 'error'")
+    start = errors.agg(F.min("ts").alias("t"))
+    before = errors.join(F.broadcast(start), F.col("ts") < F.col("t") + F.expr("interval 1 day")).select("user_id", "ts")
+    out = shared_dir(spark, "waited")
+    joined = streams.wait_for_first_positive(
+        sides["view"], sides["error"].withColumnRenamed("at", "error_at"), "user_id", "at", "error_at", timedelta(hours=6), "1 minute", before
+    )
+    writer = joined.select("event_id", "alert").writeStream.format("parquet").option("path", out)
+    streams.run_available(writer.option("checkpointLocation", shared_dir(spark, "checkpoint")))
+    return spark.read.parquet(out).where("event_id >= 0")
+
+
+@query(CODED.format(""))
+def stream_alerts_interval(spark: SparkSession, sf: str) -> DataFrame:
+    """A micro-batch each second: those of half of the people are there at first, the rest land later."""
+    dictionary, context = alert_context(spark, sf)
+    messages = alert_messages(spark, sf)
+    odd = F.crc32(F.col("secret_id").cast("binary")) % 2 == 1
+    source, out = _staged(messages.where(odd), "alerts"), shared_dir(spark, "coded")
+    handle = streams.alert_handler(dictionary, context, out)
+    writer = streams.per_batch(streams.alert_stream(spark, source), handle, shared_dir(spark, "checkpoint"))
+    streams.run_until_done(writer, "1 second", [lambda: messages.where(~odd).write.mode("append").json(source)])
+    return sink.read_back(spark, out).drop("batch")

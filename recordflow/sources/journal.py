@@ -141,6 +141,8 @@ class BucketedTable:
         return spark.read.schema(self.schema).parquet(*paths) if paths else spark.createDataFrame([], self.schema)
 
     def push(self, source: DataFrame) -> Write:
+        """A write that merges `source` and counts its rows."""
+
         def write(run: str) -> int:
             spark = self.journal.spark
             path, manifest = f"{self._base}/rows/run={run}", self.manifest()
@@ -156,11 +158,10 @@ class BucketedTable:
             dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
             filled = []
             if touched and not merged.isEmpty():
-                found = spark.read.parquet(path)
-                filled = [(r[0], r[1]) for r in found.groupBy(BUCKET).count().collect()]
-            now = {b: r for b, r in manifest.items() if b not in touched} | {b: run for b, _ in filled}
+                filled = [r[0] for r in spark.read.parquet(path).select(BUCKET).distinct().collect()]
+            now = {b: r for b, r in manifest.items() if b not in touched} | dict.fromkeys(filled, run)
             spark.createDataFrame(sorted(now.items()), "bucket int, run string").coalesce(1).write.mode("overwrite").parquet(f"{self._base}/manifest/run={run}")
-            return sum(n for _, n in filled)
+            return rows.count()
 
         return write
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import UTC, datetime
+from collections.abc import Callable, Iterator, Sequence
+from datetime import UTC, datetime, timedelta
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from recordflow.functions.nested import both_spellings, either_spelling
 from recordflow.functions.text import sanitize
@@ -82,6 +84,21 @@ def run_every(writer: DataStreamWriter, interval: str = "1 minute") -> Streaming
     return writer.trigger(processingTime=interval).start()
 
 
+def run_until_done(writer: DataStreamWriter, interval: str = "1 minute", land: Sequence[Callable[[], None]] = ()) -> None:
+    """Run by intervals until all that landed is processed, then stop.
+
+    `land`: what lands next, each once the query has caught up with what was there before.
+    """
+    query = run_every(writer, interval)
+    try:
+        query.processAllAvailable()
+        for more in land:
+            more()
+            query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def write_batch(rows: DataFrame, path: str, batch: int) -> None:
     """Write a micro-batch to its own folder, so that a repeated batch replaces itself."""
     rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
@@ -215,6 +232,77 @@ def wait_for_positives(
     return joined.withColumn("alert", F.when(F.col("_positive").isNotNull(), "yes").otherwise("no")).drop("_key", "_positive")
 
 
+def wait_for_first_positive(
+    rows: DataFrame,
+    positives: DataFrame,
+    key: str,
+    rows_time: str,
+    positives_time: str,
+    wait: timedelta = timedelta(seconds=15),
+    delay: str = "15 seconds",
+    earlier: DataFrame | None = None,
+) -> DataFrame:
+    """Streamed rows, each once, with ``alert``: ``yes`` if their key is positive by the end of `wait`.
+
+    As on tables, any earlier positive counts. `earlier` (key and time) holds the positives of the
+    target before the stream began. A row comes out ``yes`` as soon as that is known, else ``no``
+    once the watermark has passed its wait. The state of a key is the time of its first positive
+    and the rows that still wait.
+    """
+    span = int(wait.total_seconds() * 1_000_000)
+    first = F.lit(None).cast("timestamp")
+    if earlier is not None:
+        known = earlier.toDF("_key", "_known").groupBy("_key").agg(F.min("_known").alias("_known"))
+        rows, first = rows.join(known, rows[key] == known["_key"], "left"), F.col("_known")
+    kind = rows.schema[key].dataType
+    columns = [f for f in rows.schema.fields if f.name not in ("_key", "_known")]
+    whole = F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in columns]), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"})
+    waiting = rows.withWatermark(rows_time, delay).select(
+        F.col(key).alias("_key"), F.col(rows_time).alias("_time"), whole.alias("_row"), F.unix_micros(first).alias("_first")
+    )
+    seen = positives.withWatermark(positives_time, delay).select(
+        F.col(key).cast(kind).alias("_key"), F.col(positives_time).alias("_time"), F.lit(None).cast("string").alias("_row"), F.unix_micros(F.col(positives_time)).alias("_first")
+    )
+    both = waiting.unionByName(seen).withColumn("_at", F.unix_micros("_time"))
+
+    def decide(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        least, times, texts = state.get if state.exists else (None, [], [])
+        times, texts = list(times), list(texts)
+        for batch in batches:
+            found = batch["_first"].min()
+            if found == found and (least is None or found < least):
+                least = int(found)
+            there = batch[batch["_row"].notna()]
+            times += there["_at"].tolist()
+            texts += there["_row"].tolist()
+        done, left = {"_row": [], "alert": []}, ([], [])
+        passed = state.getCurrentWatermarkMs() * 1000
+        for at, text in zip(times, texts):
+            if least is not None and least <= at + span:
+                done["_row"].append(text)
+                done["alert"].append("yes")
+            elif at + span < passed:
+                done["_row"].append(text)
+                done["alert"].append("no")
+            else:
+                left[0].append(at)
+                left[1].append(text)
+        if left[0] or least is not None:
+            state.update((least, *left))
+            if left[0]:
+                state.setTimeoutTimestamp(max((min(left[0]) + span) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(done)
+
+    decided = both.groupBy("_key").applyInPandasWithState(
+        decide, "_row string, alert string", "first long, times array<long>, texts array<string>", "append", GroupStateTimeout.EventTimeTimeout
+    )
+    schema = T.StructType(columns)
+    fields = F.from_json("_row", schema, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    return decided.select(fields.alias("_fields"), "alert").select("_fields.*", "alert")
+
+
 def suppress_repeats(stream: DataFrame, key: str, time: str, within: str = "2 minutes") -> DataFrame:
     """Drop repeats of a key by event time (the ledger is the exact, processing-time form)."""
     return stream.withWatermark(time, within).dropDuplicatesWithinWatermark([key])

@@ -1,4 +1,5 @@
 import time
+from datetime import timedelta
 
 from frame_rows import rows
 
@@ -81,3 +82,36 @@ def test_repeated_batch_ignores_its_own_marks(spark, eav):
     assert rows(spark.read.parquet(out), "record", "field_name", "batch") == expected
     handle(batch, 1)
     assert rows(spark.read.parquet(out), "record", "field_name", "batch") == expected
+
+
+def _messages(spark, rows, schema):
+    path = shared_dir(spark, "landed")
+    for part in rows:
+        spark.createDataFrame(part, schema.replace("timestamp", "string")).coalesce(1).write.mode("append").json(path)
+    return streams.read_messages(spark, path, schema).drop(streams.CORRUPT)
+
+
+def test_each_row_waits_for_its_first_positive_once(spark):
+    asked = [("a", "k1", "2024-01-01 00:00:00"), ("b", "k2", "2024-01-01 00:00:00"), ("c", "k3", "2024-01-01 00:00:10"), ("d", "k4", "2024-01-01 00:00:00"), (None, "k1", "2024-01-01 00:00:01"), ("z", "zz", "2024-01-02 00:00:00")]
+    positive = [("k1", "2024-01-01 00:00:05"), ("k1", "2024-01-01 00:00:06"), ("k2", "2024-01-01 00:00:40"), ("k3", "2023-12-31 23:59:59"), ("zz", "2024-01-03 00:00:00")]
+    rows_ = _messages(spark, [asked], "name string, k string, at timestamp")
+    seen = _messages(spark, [positive], "k string, seen timestamp")
+    earlier = spark.sql("select 'k4' k, timestamp'2023-01-01' t")
+    joined = streams.wait_for_first_positive(rows_, seen, "k", "at", "seen", timedelta(seconds=15), "1 second", earlier)
+    out = shared_dir(spark, "out")
+    streams.run_available(joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", shared_dir(spark, "checkpoint")))
+    got = rows(spark.read.parquet(out), "name", "k", "alert")
+    # Two positives give one row, an earlier one and one of the target give yes, one after the wait gives no.
+    assert got == sorted([("a", "k1", "yes"), (None, "k1", "yes"), ("b", "k2", "no"), ("c", "k3", "yes"), ("d", "k4", "yes")], key=repr)
+    assert spark.read.parquet(out).schema["at"].dataType.simpleString() == "timestamp"
+
+
+def test_intervals_take_what_lands_meanwhile(spark):
+    path, out = shared_dir(spark, "landed"), shared_dir(spark, "out")
+    land = lambda n: spark.range(n, n + 1).selectExpr("cast(id as string) as x").write.mode("append").json(path)
+    land(1)
+    stream = streams.read_messages(spark, path, "x string").drop(streams.CORRUPT)
+    seen = []
+    writer = streams.per_batch(stream, lambda batch, n: seen.append((n, [r.x for r in batch.collect()])), shared_dir(spark, "checkpoint"))
+    streams.run_until_done(writer, "1 second", [lambda: land(2), lambda: land(3)])
+    assert seen == [(0, ["1"]), (1, ["2"]), (2, ["3"])] and not spark.streams.active
