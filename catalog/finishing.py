@@ -13,8 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog import jobs, landing  # noqa: F401  (their queries are looked up by name)
-from catalog.base import ENTRIES, query
-from recordflow.plans import finish
+from catalog.base import ENTRIES, query, table, text
+from recordflow.plans import data_load, finish
 from recordflow.session import shared_dir
 from recordflow.sources.journal import BucketedTable, Journal, Output
 
@@ -150,9 +150,9 @@ finished(
 finished(
     "finished_data_load",
     pushes={"job_data_target": ("record_id", "redcap_event_name", "status", "price", "day", "priority")},
-    outputs={"job_data_route": ("instrument", "target", "row_count")},
+    outputs={"job_data_route": ("instrument", "target", "row_count"), "job_data_rejected": ("instrument", "reason", "row_count")},
     flat=("record_id", "redcap_event_name"),
-    failed={"orders_without_key": "no key column"},
+    failed={"customers": "no key column", "orders_without_answers": "no data columns"},
 )
 finished(
     "finished_invitations",
@@ -174,7 +174,48 @@ finished(
 finished(
     "finished_crm",
     pushes={"job_crm": ("record_id", "mrn", "email_consent")},
-    outputs={"job_crm_new": ("record_id", "mrn", "email_consent"), "job_crm_status": ("globalId", "cv.consent_form", "importType")},
+    outputs={
+        "job_crm_new": ("record_id", "mrn", "email_consent"),
+        "job_crm_repeated": ("mrn", "copies"),
+        "job_crm_status": ("globalId", "cv.consent_form", "importType"),
+    },
     keys="job_crm_keys",
     flat=("record_id",),
 )
+
+
+# ---------------------------------------------------------------- a wide push in slices
+
+_ANSWERS = range(200)
+
+
+def _answer(i: int) -> str:
+    return f"nullif((o_orderkey * {2 * i + 1} + o_custkey) % {i + 7}, 0)"
+
+
+def _cell(i: int) -> str:
+    # The target holds a value for every second order; a blank answer leaves it.
+    return f"coalesce({_answer(i)}, CASE WHEN o_orderkey % 2 = 0 THEN -1 END)"
+
+
+@query(
+    "SELECT CAST(o_orderkey AS VARCHAR) AS record_id, "
+    + ", ".join(f"CAST({_cell(i)} AS VARCHAR) AS a{i}" for i in _ANSWERS)
+    + " FROM orders"
+)
+def finished_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """200 answers of every order in slices of 80: the push dies before the third slice and is resumed, then repeated."""
+    orders = table(spark, sf, "orders")
+    wide = orders.select(text("o_orderkey").alias("record_id"), *[F.expr(f"CAST({_answer(i)} AS STRING)").alias(f"a{i}") for i in _ANSWERS])
+    held = orders.where("o_orderkey % 2 = 0").select(text("o_orderkey").alias("record_id"), *[F.lit("-1").alias(f"a{i}") for i in _ANSWERS])
+    journal = Journal(spark, shared_dir(spark, "job"))
+    target = BucketedTable.flat(journal, "answers", wide.schema, ["record_id"], 8)
+    journal.run("before", {"answers": target.push(held)}, "2024-02-01T00:00:00")
+    parts = data_load.slices(wide, width=80)
+    finish.push_slices(journal, "wide", target, parts[:2], "2024-02-01T01:00:00")
+    try:
+        journal.run(finish.slice_run("wide", parts[2]), {"answers": target.push(parts[2]), "crash": _died}, "2024-02-01T01:00:00")
+    except Died:
+        finish.push_slices(journal, "wide", target, parts, "2024-02-01T01:05:00")
+    finish.push_slices(journal, "wide", target, parts, "2024-02-01T01:10:00")
+    return target.read()

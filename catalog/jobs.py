@@ -302,6 +302,21 @@ def job_data_target(spark: SparkSession, sf: str) -> DataFrame:
     return data_load.load(existing, changed.where("orders_alerts IS NULL").drop("orders_alerts"))
 
 
+@query("""
+SELECT 'customers' AS instrument, 'no key column' AS reason, count(*) AS row_count FROM customer
+UNION ALL SELECT 'orders_without_answers', 'no data columns', count(*) FROM orders
+""")
+def job_data_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    """Three instruments land; one lacks the key, one has nothing but keys."""
+    orders = orders_flat(spark, sf)
+    instruments = {
+        "orders": orders,
+        "customers": table(spark, sf, "customer").select("c_name"),
+        "orders_without_answers": orders.select("record_id", "redcap_event_name"),
+    }
+    return data_load.rejected_instruments(instruments, spark)
+
+
 @query("""
 SELECT instrument, count(*) AS row_count, CASE WHEN instrument = 'N' THEN '625' ELSE '891' END AS target
 FROM (SELECT l_returnflag AS instrument FROM lineitem WHERE l_returnflag <> 'A') GROUP BY instrument
@@ -465,7 +480,7 @@ def intake_contacts(spark: SparkSession, sf: str) -> DataFrame:
     return crm.intake_rows(_contacts(spark, sf), "2024-02-01")
 
 
-def _crm_split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _crm_split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     rows = crm.intake_rows(_contacts(spark, sf), "2024-02-01")
     target = table(spark, sf, "orders").select(F.col("o_orderkey").alias("record_id"), F.col("o_custkey").alias("mrn"))
     done = rows.where(F.col("email_consent").startswith("2:")).select("cache_key")
@@ -494,6 +509,12 @@ def job_crm_keys(spark: SparkSession, sf: str) -> DataFrame:
     return _crm_split(spark, sf)[2]
 
 
+@query(f"SELECT o_custkey AS mrn, count(*) AS copies FROM orders WHERE o_custkey IN (SELECT mrn FROM ({FRESH})) GROUP BY o_custkey HAVING count(*) > 1")
+def job_crm_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of the rows handled that several records hold."""
+    return _crm_split(spark, sf)[3]
+
+
 @query("""
 SELECT c_name AS "globalId", 'consent_form_created_in_redcap' AS "cv.consent_form", 'main' AS "importType" FROM customer WHERE c_mktsegment <> 'BUILDING'
 UNION ALL SELECT s_name, 'consent_form_created_in_redcap', 'waitlist' FROM supplier

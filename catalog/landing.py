@@ -410,6 +410,21 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query("SELECT DISTINCT user_id || ':' || event_type AS cache_key FROM events")
+def stream_once_within(spark: SparkSession, sf: str) -> DataFrame:
+    """Half of the people's messages land first, then all of them once more, within the time kept."""
+    rows = with_composite_key(table(spark, sf, "events"), ["user_id", "event_type"]).select("cache_key")
+    path, out, checkpoint = _staged(rows.where(F.crc32(F.col("cache_key").cast("binary")) % 2 == 0), "again"), shared_dir(spark, "once"), shared_dir(spark, "checkpoint")
+    for more in (rows, None):
+        stream = streams.read_messages(spark, path, "cache_key string").drop(streams.CORRUPT)
+        once = streams.once_within(stream, "cache_key", timedelta(days=1))
+        writer = once.writeStream.format("parquet").option("path", out)
+        streams.run_available(writer.option("checkpointLocation", checkpoint), idle=False)
+        if more is not None:
+            more.write.mode("append").json(path)
+    return spark.read.parquet(out)
+
+
 @query(ENTRIES["wait_default"].sql)
 def stream_wait_first(spark: SparkSession, sf: str) -> DataFrame:
     """As on tables: each view comes out once, and errors before it count; the first day's are in the target."""

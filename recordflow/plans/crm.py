@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from recordflow.functions.dates import iso_date_part
 from recordflow.functions.text import short_md5
+from recordflow.operators.joins import only_keys
 from recordflow.operators.keys import split_updates
 from recordflow.operators.ledger import unprocessed
 from recordflow.operators.reshape import first_contact
@@ -53,11 +54,12 @@ def split_intake(
     as_of: datetime | str,
     ttl_minutes: int = 2,
     order_by: Sequence[str] | None = None,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Updates, new records, and the ledger keys of the rows handled."""
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Updates, new records, the ledger keys of the rows handled, and ``mrn, copies`` of their keys
+    that several records of the target hold (the last one is updated)."""
     fresh = unprocessed(rows, log, ledger, as_of, ttl_minutes)
-    update, insert, _ = split_updates(fresh.drop("cache_key").distinct(), target, order_by=order_by)
-    return update, insert, fresh.select("cache_key")
+    update, insert, repeated = split_updates(fresh.drop("cache_key").distinct(), target, order_by=order_by)
+    return update, insert, fresh.select("cache_key"), only_keys(repeated, F.col("mrn"), fresh.select("mrn"))
 
 
 def study_status(contacts: DataFrame, group: str = "importType") -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordflow.operators.codes import default_no
 from recordflow.operators.dedup import changed_rows
@@ -20,6 +21,8 @@ from recordflow.schemas import EVENT, FLAT_KEYS
 
 CHUNK_THRESHOLD = 150
 CHUNK_COLUMNS = 100
+RECORD_ID = "record_id"
+NO_KEY, NO_DATA = "no key column", "no data columns"
 
 
 def route(outputs: DataFrame, prefixes: Sequence[str], matched: str, other: str) -> DataFrame:
@@ -39,6 +42,29 @@ def to_load(
     return rows, keys
 
 
+def reject_reason(df: DataFrame, key: str = RECORD_ID) -> str | None:
+    """Why an instrument cannot be loaded, if so."""
+    if key not in df.columns:
+        return NO_KEY
+    return None if data_columns(df, key) else NO_DATA
+
+
+def loadable(instruments: Mapping[str, DataFrame], key: str = RECORD_ID) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Instruments that can be loaded, and the reason for each other one (`finish.writes` reports them)."""
+    reasons = {name: reject_reason(df, key) for name, df in instruments.items()}
+    fine = {name: df for name, df in instruments.items() if not reasons[name]}
+    return fine, {name: reason for name, reason in reasons.items() if reason}
+
+
+def rejected_instruments(instruments: Mapping[str, DataFrame], spark: SparkSession, key: str = RECORD_ID) -> DataFrame:
+    """``instrument, reason, row_count`` of the instruments that cannot be loaded."""
+    rows = [
+        instruments[name].agg(F.lit(name).alias("instrument"), F.lit(reason).alias("reason"), F.count("*").alias("row_count"))
+        for name, reason in loadable(instruments, key)[1].items()
+    ]
+    return reduce(DataFrame.unionByName, rows) if rows else spark.createDataFrame([], "instrument string, reason string, row_count long")
+
+
 def prepare(
     df: DataFrame,
     ids: DataFrame,
@@ -50,9 +76,12 @@ def prepare(
     keys: Sequence[str] = ("record_id", EVENT),
     order_by: Sequence[str] | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """Rows of one instrument that are new or changed, and the columns the dictionary lacks."""
-    if not data_columns(df):
-        return df.limit(0), []
+    """Rows of one instrument that are new or changed, and the columns the dictionary lacks.
+
+    The instrument must have its key and data columns; `loadable` sets the others aside.
+    """
+    if reason := reject_reason(df):
+        raise ValueError(f"{instrument}: {reason}")
     mapped = map_ids_keep(df, ids)
     if positives is not None:
         mapped = default_no(mapped, positives, instrument, alert_event, event_column=EVENT)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from hashlib import md5
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -53,3 +54,18 @@ def writes(
 def finish(journal: Journal, run: str, as_of: datetime | str, **targets) -> bool:
     """Run a job's writes and commit them; see `writes`. False if the run is committed already."""
     return not journal.committed(run) and journal.run(run, writes(journal, as_of, **targets), as_of)
+
+
+def slice_run(run: str, part: DataFrame) -> str:
+    """The run of one column slice, named by its columns."""
+    return f"{run}-{md5(','.join(part.columns).encode()).hexdigest()[:12]}"
+
+
+def push_slices(journal: Journal, run: str, table: BucketedTable, slices: Sequence[DataFrame], as_of: datetime | str) -> int:
+    """Push the column slices of a wide frame one by one; how many were pushed.
+
+    Each slice is a run of its own, so one that has landed is neither computed nor sent again when a
+    push that ended in between is resumed under the same name. Readers see the slices landed so far;
+    cells of the others keep their values.
+    """
+    return sum(journal.run(slice_run(run, part), {table.name: table.push(part)}, as_of) for part in slices)

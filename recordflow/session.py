@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # ones Spark decides by their size.
 MAX_LITERAL_ROWS = 10_000
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set the runtime options that results (time zone) and skew handling depend on."""
@@ -21,6 +23,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # Split hot join keys even where a later operator then has to shuffle again.
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # Stream state on disk: it may outgrow memory, and state with a time to live needs it.
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     return spark
 
 

@@ -7,7 +7,7 @@ from datetime import UTC, datetime, timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from recordflow.functions.nested import both_spellings, either_spelling
@@ -19,6 +19,7 @@ from recordflow.schemas import ALERT_SCHEMA, RECORD, TRIGGER_SCHEMA
 from recordflow.sources.journal import BucketedTable, Output
 
 CORRUPT = "_corrupt_record"
+IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 def read_messages(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -73,9 +74,19 @@ def per_batch(
     return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
 
 
-def run_available(writer: DataStreamWriter) -> None:
-    """Process what has landed and stop."""
-    query = writer.trigger(availableNow=True).start()
+def run_available(writer: DataStreamWriter, idle: bool = True) -> None:
+    """Process what has landed and stop.
+
+    `idle`: also run batches without new rows, which timers and watermarks wait for. State that
+    expires by the clock (`once_within`) would ask for them without end.
+    """
+    conf = SparkSession.active().conf
+    before = conf.get(IDLE_BATCHES)
+    conf.set(IDLE_BATCHES, str(idle).lower())
+    try:
+        query = writer.trigger(availableNow=True).start()
+    finally:
+        conf.set(IDLE_BATCHES, before)
     query.awaitTermination()
 
 
@@ -303,6 +314,38 @@ def wait_for_first_positive(
     return decided.select(fields.alias("_fields"), "alert").select("_fields.*", "alert")
 
 
+def once_within(stream: DataFrame, key: str, within: timedelta = timedelta(minutes=2)) -> DataFrame:
+    """One row of a key, and none more until `within` has passed since that one was handled.
+
+    This is the rule of the ledger (processing time, marked when first handled), with the marks in
+    the stream's own state: they are committed with the batch, so a batch that is repeated after a
+    failure gives its rows again, and expire there without a purge. Of several rows of a key in a
+    batch the first to arrive is taken. Rows without a key all pass. Needs the state store on disk
+    that `configure` sets; `run_available` takes it with ``idle=False``.
+    """
+    schema = stream.schema
+
+    class Seen(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.seen = handle.getValueState("seen", "seen boolean", ttlDurationMs=int(within.total_seconds() * 1000))
+
+        def handleInputRows(self, _: tuple, rows: Iterator[pd.DataFrame], __) -> Iterator[pd.DataFrame]:  # noqa: N802
+            first = None
+            for batch in rows:
+                if first is None and len(batch):
+                    first = batch.head(1)
+            if first is not None and not self.seen.exists():
+                self.seen.update((True,))
+                yield first
+
+        def close(self) -> None:
+            pass
+
+    keyed = stream.where(F.col(key).isNotNull())
+    once = keyed.groupBy(key).transformWithStateInPandas(Seen(), schema, "append", "ProcessingTime")
+    return once.unionByName(stream.where(F.col(key).isNull()))
+
+
 def suppress_repeats(stream: DataFrame, key: str, time: str, within: str = "2 minutes") -> DataFrame:
-    """Drop repeats of a key by event time (the ledger is the exact, processing-time form)."""
+    """Drop repeats of a key by event time (`once_within` and the ledger go by processing time)."""
     return stream.withWatermark(time, within).dropDuplicatesWithinWatermark([key])

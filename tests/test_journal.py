@@ -109,3 +109,15 @@ def test_alert_batches_merge_once(spark, journal):
     assert rows(table.read()) == first and first
     handle(messages, 1)
     assert rows(table.read()) == first and len(journal.runs("alerts")) == 2
+
+
+def test_a_wide_push_resumes_at_the_slice_that_failed(spark, journal):
+    table = BucketedTable.flat(journal, "people", WIDE, ["id"], buckets=2)
+    parts = [spark.createDataFrame([(1, "x")], "id long, a string"), spark.createDataFrame([(1, "y")], "id long, b string")]
+    with pytest.raises(Died):
+        journal.run(finish.slice_run("w", parts[1]), {"people": table.push(parts[1]), "crash": die}, T0)
+    assert finish.push_slices(journal, "w", table, parts[:1], T0) == 1
+    assert rows(table.read()) == [(1, "x", None)]
+    assert finish.push_slices(journal, "w", table, parts, T1) == 1
+    assert rows(table.read()) == [(1, "x", "y")]
+    assert finish.push_slices(journal, "w", table, parts, T1) == 0

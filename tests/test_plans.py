@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from frame_rows import rows
 from pyspark.sql import functions as F
 
@@ -89,7 +90,11 @@ def test_data_load(spark):
     changed, unknown = data_load.prepare(df, ids, dictionary, existing, "form")
     assert (rows(changed), unknown) == ([("2", "e", "b"), ("3", "e", "c")], ["bad"])
     assert rows(data_load.load(existing, changed)) == [("1", "e", "a"), ("2", "e", "b"), ("3", "e", "c")]
-    assert data_load.prepare(df.select("redcap_event_name"), ids, dictionary, existing, "form")[0].count() == 0
+    odd = {"form": df, "keyless": df.select("q"), "bare": df.select("record_id", "redcap_event_name")}
+    assert rows(data_load.rejected_instruments(odd, spark)) == [("bare", "no data columns", 3), ("keyless", "no key column", 3)]
+    assert list(data_load.loadable(odd)[0]) == ["form"] and data_load.rejected_instruments({"form": df}, spark).isEmpty()
+    with pytest.raises(ValueError, match="keyless: no key column"):
+        data_load.prepare(odd["keyless"], ids, dictionary, existing, "keyless")
     wide = spark.range(1).select(F.lit("1").alias("record_id"), *[F.lit(i).alias(f"c{i}") for i in range(160)])
     assert [len(s.columns) for s in data_load.slices(wide)] == [101, 61]
 
@@ -170,11 +175,12 @@ def test_crm(spark):
     )
     marked = crm.marked_contacts(contacts)
     out = crm.intake_rows(marked, "2024-01-01")
-    target = spark.createDataFrame([(12345, 1), (67890, 2)], "mrn bigint, record_id bigint")
+    target = spark.createDataFrame([(12345, 1), (67890, 2), (67890, 0), (5, 3), (5, 4)], "mrn bigint, record_id bigint")
     empty = spark.createDataFrame([], LEDGER_SCHEMA)
-    update, insert, seen = crm.split_intake(out, target, empty, "crm", "2024-01-01T00:00:00")
+    update, insert, seen, repeated = crm.split_intake(out, target, empty, "crm", "2024-01-01T00:00:00", order_by=["record_id"])
+    assert rows(repeated) == [(67890, 2)]
     assert rows(update) == [(1, 12345, None), (2, 67890, "a@x")]
     assert rows(insert) == [(99002, 99002, "c@x")]
     again = crm.split_intake(out, target, ledger.entries(seen, "crm", "2024-01-01T00:00:00"), "crm", "2024-01-01T00:01:00")
-    assert [part.count() for part in again] == [0, 0, 0]
+    assert [part.count() for part in again] == [0, 0, 0, 0]
     assert rows(crm.study_status(marked), "globalId", "importType") == [("g1", "main"), ("g2", "main"), ("g4", "wait")]

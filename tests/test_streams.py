@@ -1,6 +1,7 @@
 import time
 from datetime import timedelta
 
+import pytest
 from frame_rows import rows
 
 from recordflow.schemas import TRIGGER_SCHEMA
@@ -115,3 +116,27 @@ def test_intervals_take_what_lands_meanwhile(spark):
     writer = streams.per_batch(stream, lambda batch, n: seen.append((n, [r.x for r in batch.collect()])), shared_dir(spark, "checkpoint"))
     streams.run_until_done(writer, "1 second", [lambda: land(2), lambda: land(3)])
     assert seen == [(0, ["1"]), (1, ["2"]), (2, ["3"])] and not spark.streams.active
+
+
+def test_a_repeat_passes_after_the_time_to_live_only(spark):
+    path, out, checkpoint = shared_dir(spark, "landed"), shared_dir(spark, "out"), shared_dir(spark, "checkpoint")
+
+    def batch(*keys):
+        spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, n int").coalesce(1).write.mode("append").json(path)
+        stream = streams.read_messages(spark, path, "k string, n int").drop(streams.CORRUPT)
+        handle = lambda df, n: streams.write_batch(df, out, n)
+        streams.run_available(streams.per_batch(streams.once_within(stream, "k", timedelta(seconds=20)), handle, checkpoint), idle=False)
+        return time.monotonic()
+
+    def passed():
+        return [(r.batch, r.k, r.n is not None) for r in spark.read.parquet(out).orderBy("batch", "k", "n").collect()]
+
+    handled = batch("a", "a", "b", None, None)
+    assert passed() == [(0, None, True), (0, None, True), (0, "a", True), (0, "b", True)]
+    second = batch("b", "c")
+    if second - handled > 19:
+        pytest.skip("the second batch took longer than the time to live")
+    assert passed()[4:] == [(1, "c", True)]
+    time.sleep(max(0.0, handled + 21 - time.monotonic()))
+    batch("a", "b", "c" if time.monotonic() - second < 5 else "a")
+    assert [k for n, k, _ in passed() if n == 2][:2] == ["a", "b"]
