@@ -186,7 +186,7 @@ finished(
 
 # ---------------------------------------------------------------- a wide push in slices
 
-_ANSWERS = range(200)
+_ANSWERS = range(30)
 
 
 def _answer(i: int) -> str:
@@ -204,14 +204,14 @@ def _cell(i: int) -> str:
     + " FROM orders"
 )
 def finished_slices(spark: SparkSession, sf: str) -> DataFrame:
-    """200 answers of every order in slices of 80: the push dies before the third slice and is resumed, then repeated."""
+    """30 answers of every order in slices of 12: the push dies before the third slice and is resumed, then repeated."""
     orders = table(spark, sf, "orders")
     wide = orders.select(text("o_orderkey").alias("record_id"), *[F.expr(f"CAST({_answer(i)} AS STRING)").alias(f"a{i}") for i in _ANSWERS])
     held = orders.where("o_orderkey % 2 = 0").select(text("o_orderkey").alias("record_id"), *[F.lit("-1").alias(f"a{i}") for i in _ANSWERS])
     journal = Journal(spark, shared_dir(spark, "job"))
     target = BucketedTable.flat(journal, "answers", wide.schema, ["record_id"], 8)
     journal.run("before", {"answers": target.push(held)}, "2024-02-01T00:00:00")
-    parts = data_load.slices(wide, width=80)
+    parts = data_load.slices(wide, threshold=20, width=12)
     finish.push_slices(journal, "wide", target, parts[:2], "2024-02-01T01:00:00")
     try:
         journal.run(finish.slice_run("wide", parts[2]), {"answers": target.push(parts[2]), "crash": _died}, "2024-02-01T01:00:00")

@@ -111,10 +111,29 @@ def table_hash(df: DataFrame, by: Sequence[str] = (), length: int = 12) -> DataF
     Row hashes are added up, so every task reduces its rows to one number and nothing is
     collected; the row count takes part, and a repeated row counts twice.
     """
-    columns = sorted(c for c in df.columns if c not in by)
+    return _hash_of(hash_sums(df, by), by, length)
+
+
+def hash_sums(df: DataFrame, by: Sequence[str] = (), apart: Sequence[str] = ()) -> DataFrame:
+    """What a content hash is made of: ``row_count, row_sum`` (per group, and per value of `apart`).
+
+    Sums of parts of a table add up to those of the whole (`merged_hash`).
+    """
+    columns = sorted(c for c in df.columns if c not in (*by, *apart))
     digits = F.conv(F.substring(F.md5(row_text(columns)), 1, 15), 16, 10).cast("decimal(38,0)")
-    sums = df.groupBy(*by).agg(F.count("*").alias("row_count"), F.sum(digits).alias("_sum"))
-    text = F.concat_ws(":", F.col("row_count").cast("string"), F.col("_sum").cast("string"))
+    return df.groupBy(*by, *apart).agg(F.count("*").alias("row_count"), F.sum(digits).alias("row_sum"))
+
+
+def merged_hash(sums: DataFrame, by: Sequence[str] = (), length: int = 12) -> DataFrame:
+    """Content hash of the table whose parts have these sums; the same as `table_hash` of the whole."""
+    whole = sums.where("row_count > 0").groupBy(*by).agg(
+        F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"), F.sum("row_sum").alias("row_sum")
+    )
+    return _hash_of(whole, by, length)
+
+
+def _hash_of(sums: DataFrame, by: Sequence[str], length: int) -> DataFrame:
+    text = F.concat_ws(":", F.col("row_count").cast("string"), F.col("row_sum").cast("string"))
     return sums.select(*by, "row_count", F.substring(F.md5(text), 1, length).alias("content_hash"))
 
 

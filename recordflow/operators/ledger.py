@@ -105,7 +105,13 @@ def unchanged_groups(
 
     Both frames have ``<by>, row_count, content_hash, cache_key``.
     """
-    hashes = table_hash(df, [by])
+    return known_groups(table_hash(df, [by]), log, ledger, as_of, by, ttl_minutes)
+
+
+def known_groups(
+    hashes: DataFrame, log: DataFrame, ledger: str, as_of: datetime | str, by: str = "instrument", ttl_minutes: int = 60
+) -> tuple[DataFrame, DataFrame]:
+    """`unchanged_groups` for content hashes made before, as by `FolderHash`."""
     key = F.concat_ws(":", F.col(by), "content_hash", F.col("row_count").cast("string"))
     keyed = hashes.withColumn("cache_key", key)
     done = live(log.where(F.col("ledger") == ledger), as_of, ttl_minutes).select(
