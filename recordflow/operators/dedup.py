@@ -8,12 +8,12 @@ shuffle; `keep_one`, which picks whole rows, orders by all columns.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from recordflow.operators.joins import same_key
 from recordflow.schemas import EVENT, FIELD, INSTANCE, INSTRUMENT, RECORD, VALUE
+from recordflow.session import shared_dir
 
 
 def row_order(columns: Sequence[str]) -> Column:
@@ -228,8 +228,7 @@ def latest_instance(eav: DataFrame, order_by: Sequence[str] | None = None) -> Da
     return single.unionByName(newest).drop(INSTRUMENT, INSTANCE)
 
 
-SAMPLES_PER_CHUNK = 20
-ROWS_PER_CHUNK = 4_000_000
+PLACE_BITS = 33  # of the number that monotonically_increasing_id gives, those for the place in a partition
 
 
 def running_number(
@@ -237,44 +236,28 @@ def running_number(
 ) -> DataFrame:
     """Number the rows of every key from 1 in order, also where one key holds most rows.
 
-    A seeded sample shows which keys are too large for one task. The rows of those (all rows,
-    without keys) are cut into ordered chunks at sampled boundaries; a chunk is numbered on
-    its own and shifted by the sizes of the key's earlier chunks. The number of chunks grows with
-    the rows. The sample only spreads the work: the numbers do not depend on it.
+    The rows are cut into ordered chunks by key and order (range partitions, as many as the
+    session shuffles into) and written once to the shared folder with their chunk and place. The
+    input is computed twice, for Spark to sample the cuts and to write. A chunk is numbered on
+    its own, and what a key has in later chunks is shifted by its rows in the earlier ones.
     """
     spark = df.sparkSession
-    there = df.count()
-    chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-there // ROWS_PER_CHUNK))
-    sort_key = F.struct(*[F.col(f"`{c}`") for c in (*keys, *order_by)])
-    share = min(1.0, SAMPLES_PER_CHUNK * chunks / max(1, there))
-    picked = df.select(sort_key.alias("k"))
-    sample = (picked.sample(share, seed=7) if share < 1 else picked).orderBy("k").collect()
-    by_key: dict[tuple, list[tuple]] = {}
-    for row in sample:
-        by_key.setdefault(tuple(row.k)[: len(keys)], []).append(tuple(row.k))
-    hot = {k: rows for k, rows in by_key.items() if len(rows) > SAMPLES_PER_CHUNK}
-    order = [F.col(f"`{c}`").asc() for c in order_by]
-    if keys and not hot:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
-
-    bounds = [rows[i] for rows in hot.values() for i in range(SAMPLES_PER_CHUNK, len(rows), SAMPLES_PER_CHUNK)]
-    is_hot = F.lit(not keys)
-    for key in hot if keys else ():
-        same = [F.col(f"`{c}`").eqNullSafe(F.lit(v)) for c, v in zip(keys, key)]
-        is_hot = is_hot | reduce(Column.__and__, same)
-    kinds = df.select(sort_key.alias("k")).schema["k"].dataType.fields
-    chunk = F.when(is_hot, _chunk_number(sort_key, bounds, kinds)).otherwise(0)
-    chunked = df.withColumn("_chunk", chunk)
-    local = F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(*order))
-    sizes = chunked.where(is_hot).groupBy(*keys, "_chunk").agg(F.count("*").alias("_size"))
-    # One row per hot key and chunk, so no more than twice the number of chunks.
+    ordered = [F.col(f"`{c}`").asc() for c in (*keys, *order_by)]
+    placed = df.repartitionByRange(*ordered).sortWithinPartitions(*ordered).withColumn("_place", F.monotonically_increasing_id())
+    path = shared_dir(spark, "numbered")
+    placed.write.parquet(path)
+    rows = spark.read.schema(placed.schema).parquet(path).withColumn("_chunk", F.shiftright("_place", PLACE_BITS))
+    sizes = rows.groupBy(*keys, "_chunk").agg(F.count("*").alias("_size"))
+    # One row per chunk, or per chunk and key that continues from the chunk before: as few as chunks.
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_chunk").alias("_c"),
-        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"),
+    offsets = sizes.withColumn("_offset", F.sum("_size").over(earlier)).where("_offset IS NOT NULL").select(
+        *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_chunk").alias("_c"), "_offset"
     )
-    numbered = chunked.withColumn("_local", local)
+    if keys:
+        order = [F.col(f"`{c}`").asc() for c in order_by]
+        numbered = rows.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(*order)))
+    else:
+        numbered = rows.withColumn("_local", F.col("_place").bitwiseAND((1 << PLACE_BITS) - 1) + 1)
     on = numbered["_chunk"] == offsets["_c"]
     for i, key in enumerate(keys):
         on = on & numbered[f"`{key}`"].eqNullSafe(offsets[f"_k{i}"])
@@ -284,29 +267,6 @@ def running_number(
     )
 
 
-def _chunk_number(sort_key: Column, bounds: list[tuple], kinds: Sequence[T.StructField]) -> Column:
-    """How many of the sorted boundaries are not above the row (binary search)."""
-    if not bounds:
-        return F.lit(0)
-    literals = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(bound, kinds)])
-        for bound in bounds
-    ]
-
-    def halve(state: Column, _: Column) -> Column:
-        middle = F.shiftright(state["low"] + state["high"], 1)
-        below = sort_key < F.get(F.array(*literals), middle)
-        return (
-            F.when(state["low"] >= state["high"], state)
-            .when(below, F.struct(state["low"].alias("low"), middle.alias("high")))
-            .otherwise(F.struct((middle + 1).alias("low"), state["high"].alias("high")))
-        )
-
-    start = F.struct(F.lit(0).alias("low"), F.lit(len(literals)).alias("high"))
-    steps = F.sequence(F.lit(1), F.lit(len(literals).bit_length()))
-    return F.aggregate(steps, start, halve, lambda state: state["low"])
-
-
 def next_instance(
     participants: DataFrame,
     existing: DataFrame | None,

@@ -65,6 +65,24 @@ def test_running_number_hot_key(spark, by):
     assert sorted(map(tuple, numbered.collect()), key=repr) == sorted(expected, key=repr)
 
 
+def test_running_number_spans_chunks(spark):
+    """Keys over several chunks, keys that end where a chunk does, no rows, and the input computed once."""
+    count = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            count.add(len(batch))
+            yield batch
+
+    data = spark.range(20_000).selectExpr("id % 2 AS k", "id AS o", "CAST(NULL AS INT) AS number_of").mapInPandas(seen, "k long, o long, number_of int")
+    got = dedup.running_number(data, ["k"], ["o"])
+    assert got.where("number <> 1 + (o - k) / 2").isEmpty() and got.count() == 20_000
+    assert count.value <= 2 * 20_000  # once to place the range boundaries, once to write
+    everything = dedup.running_number(spark.range(1000).withColumnRenamed("id", "o"), [], ["o"], "n")
+    assert everything.where("n <> o + 1").isEmpty() and everything.count() == 1000
+    assert dedup.running_number(spark.range(0), [], ["id"]).isEmpty()
+
+
 def test_keep_one_reduces_before_the_shuffle(spark, capsys):
     df = spark.range(100).withColumn("k", F.col("id") % 3)
     dedup.keep_one(df, ["k"], ["id"]).explain()
