@@ -17,6 +17,7 @@ from recordflow.operators import ledger
 from recordflow.plans import alerts
 from recordflow.session import shared_dir
 from recordflow.sources import scan, sink
+from recordflow.sources.csv_folder import CsvFolder
 from recordflow.sources.journal import BucketedTable, Journal
 from recordflow.streaming import streams
 
@@ -45,6 +46,24 @@ def pinned_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scan.read_csv_pinned(spark, path)
 
 
+@query("""
+SELECT '0' || o_orderkey AS mrn, CAST(o_totalprice AS DOUBLE) AS amount, CAST(o_orderdate AS DATE) AS day,
+       o_orderkey * 1000003 AS number, o_orderpriority AS priority FROM orders
+""")
+def csv_folder_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders land in two parts; the second widens a whole amount to a decimal one and an int to a long."""
+    path, orders = shared_dir(spark, "csv"), table(spark, sf, "orders")
+    rows = orders.select(
+        F.concat(F.lit("0"), text("o_orderkey")).alias("mrn"), F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("amount"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), (F.col("o_orderkey") * 1000003).alias("number"), F.col("o_orderpriority").alias("priority"),
+    )
+    folder = CsvFolder(Journal(spark, shared_dir(spark, "types")), "orders", path, rows.columns, scan.ID_COLUMNS)
+    for number, part in enumerate((F.col("number") < 2**31, F.col("number") >= 2**31)):
+        rows.where(part).write.mode("append").option("header", True).csv(path)
+        folder.run(f"run-{number}", "2024-01-01T00:00:00")
+    return folder.read()
+
+
 @query("SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type AS kind FROM events")
 def json_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "json")

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from recordflow.operators.joins import only_keys
 from recordflow.operators.reshape import wide_to_eav
 from recordflow.operators.select import _name
 from recordflow.schemas import FIELD, RECORD, VALUE
+from recordflow.session import shared_dir
+from recordflow.sources import cell_types
 
 # Fixed value: identifier columns that must keep their leading zeros.
 ID_COLUMNS = ("customId", "mrn")
@@ -31,18 +33,24 @@ def read_csv(
 def read_csv_pinned(
     spark: SparkSession, path: str, text_columns: Sequence[str] = ID_COLUMNS
 ) -> DataFrame:
-    """Read CSV files with inferred types, except identifier columns, which stay text.
+    """Read CSV files with the types their cells allow, except identifier columns, which stay text.
 
-    The types come from a pass over the files; where they are known, give `read_csv` a schema.
+    The files are parsed once: their text cells are written to the shared folder, and the kinds of the
+    cells (`cell_types`) are gathered by the tasks that write them. A column without a filled cell is
+    text. The frame reads what was written. `CsvFolder` keeps the types of a folder that grows.
     """
-    inferred = read_csv(spark, path, infer=True).schema
-    pinned = T.StructType(
-        [
-            T.StructField(f.name, T.StringType() if f.name in text_columns else f.dataType)
-            for f in inferred.fields
-        ]
-    )
-    return read_csv(spark, path, pinned)
+    text = read_csv(spark, path)
+    names, parsed = text.columns, shared_dir(spark, "cells")
+    if not names:
+        return text
+    # Columns are written by place, as a header may hold names that Parquet or another column clashes with.
+    cells = text.toDF(*[f"c{i}" for i in range(len(names))])
+    seen = Observation("kinds")
+    cells.observe(seen, *cell_types.kinds(cells.columns)).write.parquet(parsed)
+    bits = {f"c{i}": seen.get[f"k{i}"] for i in range(len(names))}
+    pinned = [c for c, name in zip(cells.columns, names) if name in text_columns]
+    schema = cell_types.schema_of(cells.columns, bits, pinned)
+    return cell_types.typed(spark.read.schema(cells.schema).parquet(parsed), schema).toDF(*names)
 
 
 def read_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
