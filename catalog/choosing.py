@@ -12,7 +12,8 @@ from recordflow.operators import dedup, ledger, upsert
 from recordflow.operators.reshape import wide_to_eav
 from recordflow.session import shared_dir
 from recordflow.sources.folder_hash import FolderHash
-from recordflow.sources.journal import Journal
+from recordflow.sources.journal import Journal, Output
+from recordflow.sources.row_index import RowHashIndex
 
 
 @query(f"""
@@ -38,18 +39,40 @@ def distinct_rows(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus").distinct()
 
 
-@query(f"""
+CHANGED_ROWS = f"""
 WITH new AS ({ORDERS_FLAT}), old AS ({SNAPSHOT})
 SELECT new.* FROM new LEFT JOIN old USING (record_id, redcap_event_name)
 WHERE old.price IS NULL OR md5(concat_ws('|', new.day, new.price, new.priority, new.status))
                         <> md5(concat_ws('|', old.day, old.price, old.priority, old.status))
-""")
+"""
+
+
+@query(CHANGED_ROWS)
 def changed_rows(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.changed_rows(
         orders_flat(spark, sf), snapshot(spark, sf), ["record_id", "redcap_event_name"]
     )
 
 
+@query(CHANGED_ROWS)
+def changed_rows_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The snapshot's hashes are kept in an index; orders come in two parts and once more as a whole.
+
+    Each run writes the rows that changed and adds their hashes; the index is compacted in between.
+    """
+    orders, old, keys = orders_flat(spark, sf), snapshot(spark, sf), ["record_id", "redcap_event_name"]
+    journal, as_of = Journal(spark, shared_dir(spark, "index")), "2024-01-01T00:00:00"
+    index, pushed = RowHashIndex(journal, "hashes", orders.schema, keys, 8), Output(journal, "pushed")
+    journal.run("before", {index.name: index.update(old)}, as_of)
+    first = F.crc32(F.col("record_id").cast("binary")) % 2 == 0
+    for number, part in enumerate((orders.where(first), orders.where(~first), orders)):
+        changed = index.changed(part)
+        journal.run(f"run-{number}", {pushed.name: pushed.write(changed), index.name: index.update(changed)}, as_of)
+        if number == 0:
+            index.compact("compact", as_of)
+    return pushed.read(orders.schema)
+
+
 _FLAT = ["record_id", "redcap_event_name", "status", "price", "day", "priority"]
 
 
