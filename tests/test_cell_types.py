@@ -48,6 +48,12 @@ def test_pinned_read_parses_once(spark, tmp_path, capsys):
     assert out.count() == 2
 
 
+def test_header_alone(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("mrn,n\n")
+    out = scan.read_csv_pinned(spark, str(tmp_path))
+    assert out.dtypes == [("mrn", "string"), ("n", "string")] and out.isEmpty()
+
+
 def test_folder_follows_its_files(spark, tmp_path):
     folder = CsvFolder(Journal(spark, shared_dir(spark, "types")), "load", str(tmp_path), ["mrn", "n"], ["mrn"])
 
