@@ -28,6 +28,8 @@ def first_of(value: str | Column, order_by: Sequence[str] | None, among: Column
 
 def last_of(value: str | Column, order_by: Sequence[str] | None, among: Column | None = None) -> Column:
     """Aggregate: the last value in order, of all rows or of those where `among` holds."""
+    if order_by and isinstance(value, str) and value == order_by[0]:
+        order_by = None  # ordered by itself first, the last value is the largest
     return _pick(F.max, F.max_by, value, order_by, among)
 
 

@@ -22,6 +22,7 @@ from recordflow.operators.select import CodeList, flagged_records, keep_prefixes
 from recordflow.operators.upsert import status_rows
 from recordflow.plans import fixed_values as fixed
 from recordflow.schemas import EVENT, FIELD, RECORD
+from recordflow.session import stored
 
 
 def standard_rules(as_of: date | str) -> list[RecordRule]:
@@ -53,7 +54,9 @@ def format_records(
     """Rename, apply the rules, keep wanted fields, move to the record's ID, latest instance.
 
     Flag, rules and ID are read from the table in one aggregate and applied in one join,
-    rather than in a join each, which would scan the table again for every one of them.
+    rather than in a join each, which would scan the table again for every one of them. What
+    several later steps start from is written once to the shared folder: the facts, and the rows
+    they were applied to.
     """
     flag = (ready.field, ready["Ready to Send"]) if ready else None
     fields = fact_fields(rules, id_field, flag)
@@ -64,11 +67,12 @@ def format_records(
         id_field,
         flag,
     )
+    facts = stored(facts, "facts")
     wanted = keep_prefixes(rename_fields(eav, renames), prefixes)
     targets = [r for r in rules if r.target.startswith(tuple(prefixes))]
     if len(targets) != len(rules):
         raise ValueError("a rule sets a field that is not taken over")
-    moved = apply_facts(wanted, facts, rules, "inner" if flag else "left")
+    moved = stored(apply_facts(wanted, facts, rules, "inner" if flag else "left"), "moved")
     return decrement_code(latest_instance(moved, order_by), decremented)
 
 

@@ -45,6 +45,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows, computed now and once: written to a new shared folder and read from there."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def literal_table(
     spark: SparkSession, columns: Sequence[str], rows: Iterable[Sequence[str | None]]
 ) -> DataFrame:
