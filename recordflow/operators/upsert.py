@@ -29,15 +29,17 @@ def flat_upsert(
     source: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str] | None = None,
+    single: bool = False,
 ) -> DataFrame:
     """Target after a flat push: source cells overwrite unless blank, new keys are added.
 
-    Both sides are first reduced to the last row of each key, so no key can be hot in the join.
+    Both sides are first reduced to the last row of each key, so no key can be hot in the join. A
+    target that has one row per key already (`single`) is not sorted for that.
     """
+    # Null keys become a text of their own, so that one partitioning serves the choice and the join.
+    texts = {f"_k{i}": cells_text([F.col(f"`{k}`")]) for i, k in enumerate(keys)}
 
     def last_per_key(df: DataFrame) -> DataFrame:
-        # Null keys become a text of their own, so that one partitioning serves the choice and the join.
-        texts = {f"_k{i}": cells_text([F.col(f"`{k}`")]) for i, k in enumerate(keys)}
         order = [c for c in order_by if c in df.columns] if order_by else df.columns
         return keep_one(df.withColumns(texts), list(texts), order, keep="last")
 
@@ -55,7 +57,8 @@ def flat_upsert(
             parts.append(F.col(f"t.`{name}`"))
         return F.coalesce(*parts).alias(name)
 
-    new, old = last_per_key(source).alias("s"), last_per_key(target).alias("t")
+    known = target.withColumns(texts) if single else last_per_key(target)
+    new, old = last_per_key(source).alias("s"), known.alias("t")
     on = [f"_k{i}" for i in range(len(keys))]
     return new.join(old, on, "full").select([cell(c) for c in columns])
 

@@ -80,10 +80,14 @@ class Output:
     def write(self, rows: DataFrame) -> Write:
         def write(run: str) -> int:
             rows.write.mode("overwrite").parquet(self._path(run))
-            return self.journal.spark.read.schema(rows.schema).parquet(self._path(run)).count()
+            return self.written(run, rows.schema).count()
 
         return write
 
+    def written(self, run: str, schema: T.StructType | str) -> DataFrame:
+        """Rows that a run wrote, committed or not."""
+        return self.journal.spark.read.schema(schema).parquet(self._path(run))
+
     def read(self, schema: T.StructType | str) -> DataFrame:
         """Rows of the committed runs."""
         paths = [self._path(run) for run in self.journal.runs(self.name)]
@@ -115,7 +119,7 @@ class BucketedTable:
 
     @classmethod
     def flat(cls, journal: Journal, name: str, schema: T.StructType, keys: Sequence[str], buckets: int = 64) -> BucketedTable:
-        """A wide target: cells are overwritten unless blank."""
+        """A wide target with one row per key: cells are overwritten unless blank, a blank key is null."""
         return cls(journal, name, schema, keys, partial(_flat, list(keys)), buckets)
 
     @property
@@ -156,9 +160,9 @@ class BucketedTable:
             # Large buckets are split, small ones put together.
             dealt = self.bucketed(merged.select(cells)).hint("rebalance", BUCKET)
             dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-            filled = []
-            if touched and not merged.isEmpty():
-                filled = [r[0] for r in spark.read.parquet(path).select(BUCKET).distinct().collect()]
+            # The files say which buckets hold rows; to ask the merge would compute it once more.
+            written = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+            filled = [r[0] for r in spark.read.schema(written).parquet(path).select(BUCKET).distinct().collect()]
             now = {b: r for b, r in manifest.items() if b not in touched} | dict.fromkeys(filled, run)
             spark.createDataFrame(sorted(now.items()), "bucket int, run string").coalesce(1).write.mode("overwrite").parquet(f"{self._base}/manifest/run={run}")
             return rows.count()
@@ -171,4 +175,8 @@ def _long(keys: Sequence[str], target: DataFrame, source: DataFrame) -> DataFram
 
 
 def _flat(keys: Sequence[str], target: DataFrame, source: DataFrame) -> DataFrame:
-    return flat_upsert(target, source, keys)
+    # Keys are compared as the target will hold them, so it never has two rows of one key.
+    texts = {f.name for f in source.schema.fields if isinstance(f.dataType, T.StringType)}
+    filled = {k: F.nullif(F.col(f"`{k}`"), F.lit("")) if k in texts else F.col(f"`{k}`") for k in keys}
+    held = {k: cell.cast(target.schema[k].dataType) for k, cell in filled.items()}
+    return flat_upsert(target, source.withColumns(held), keys, single=True)

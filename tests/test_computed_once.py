@@ -30,6 +30,34 @@ def counted(spark):
     return count, seen
 
 
+def test_a_push_merges_once(spark, counted):
+    count, seen = counted
+    rows_ = spark.createDataFrame([("1", "e", "f", "x"), ("2", "e", "f", "y")], LONG)
+    journal = Journal(spark, shared_dir(spark, "once"))
+    table = BucketedTable(journal, "facts", LONG, ["record"], lambda target, source: count(target.unionByName(source)), 2)
+    journal.run("r1", {"facts": table.push(rows_)}, AS_OF)
+    assert rows(table.read(), "record") == [("1",), ("2",)]
+    assert seen.value == 2
+
+
+def test_a_push_without_rows_holds_no_bucket(spark):
+    journal = Journal(spark, shared_dir(spark, "once"))
+    table = BucketedTable.long(journal, "facts", LONG, buckets=2)
+    journal.run("r1", {"facts": table.push(spark.createDataFrame([("1", "e", "f", "")], LONG))}, AS_OF)
+    assert table.manifest() == {} and table.read().isEmpty()
+
+
+def test_a_flat_target_has_one_row_per_key(spark):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    journal = Journal(spark, shared_dir(spark, "once"))
+    table = BucketedTable.flat(journal, "people", schema, ["id"], 2)
+    texts = spark.createDataFrame([("01", "x", "y"), ("1", "x", "z"), (None, "n", None)], "id string, a string, b string")
+    journal.run("r1", {"people": table.push(texts)}, AS_OF)
+    assert rows(table.read()) == [(1, "x", "z"), (None, "n", None)]
+    journal.run("r2", {"people": table.push(spark.createDataFrame([(None, "m", "k"), ("001", "", "q")], texts.schema))}, AS_OF)
+    assert rows(table.read()) == [(1, "x", "q"), (None, "m", "k")]
+
+
 def test_intake_reads_its_table_for_facts_and_rows_only(spark, tmp_path):
     fields = {"mrn": "7", "dob": "2001-01-01", fixed.INTAKE_READY.field: fixed.INTAKE_READY["Ready to Send"]}
     data = [("1", "e", None, None, f, v) for f, v in fields.items()]
