@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from catalog import jobs, landing  # noqa: F401  (their queries are looked up by name)
 from catalog.base import ENTRIES, query, table, text
 from recordflow.plans import data_load, finish
-from recordflow.session import shared_dir
+from recordflow.session import shared_dir, stored
 from recordflow.sources.journal import BucketedTable, Journal, Output
 
 EAV = ("record", "redcap_event_name", "field_name", "value")
@@ -45,7 +45,8 @@ def _finished(
 ) -> DataFrame:
     """`pushes`, `outputs`: columns of the results of other queries; `flat`: the key of wide targets."""
     journal = Journal(spark, shared_dir(spark, "job"))
-    frames = {name: ENTRIES[name].run(spark, sf).select(*[f"`{c}`" for c in columns]) for name, columns in (pushes | outputs).items()}
+    # All runs are given the same rows, so the job's are computed once.
+    frames = {name: stored(ENTRIES[name].run(spark, sf).select(*[f"`{c}`" for c in columns]), "given") for name, columns in (pushes | outputs).items()}
     schemas = {name: df.schema for name, df in frames.items()}
     make = (lambda n: BucketedTable.flat(journal, n, schemas[n], flat, 8)) if flat else (lambda n: BucketedTable.long(journal, n, schemas[n], buckets=8))
     tables = {name: make(name) for name in pushes}

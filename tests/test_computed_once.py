@@ -58,6 +58,15 @@ def test_a_flat_target_has_one_row_per_key(spark):
     assert rows(table.read()) == [(1, "x", "q"), (None, "m", "k")]
 
 
+def test_a_finished_job_computes_its_rows_once(spark, counted, monkeypatch):
+    count, seen = counted
+    data = spark.createDataFrame([(str(i), "e", "f", "x") for i in range(10)], LONG)
+    monkeypatch.setitem(base.ENTRIES, "counted", base.Entry(lambda spark, sf: count(data), None))
+    out = finishing._finished(spark, "", {"counted": finishing.EAV}, {})
+    assert out.where("target = 'counted'").count() == 10
+    assert seen.value == 10
+
+
 def test_intake_reads_its_table_for_facts_and_rows_only(spark, tmp_path):
     fields = {"mrn": "7", "dob": "2001-01-01", fixed.INTAKE_READY.field: fixed.INTAKE_READY["Ready to Send"]}
     data = [("1", "e", None, None, f, v) for f, v in fields.items()]
