@@ -66,8 +66,7 @@ def changed_rows_indexed(spark: SparkSession, sf: str) -> DataFrame:
     journal.run("before", {index.name: index.update(old)}, as_of)
     first = F.crc32(F.col("record_id").cast("binary")) % 2 == 0
     for number, part in enumerate((orders.where(first), orders.where(~first), orders)):
-        changed = index.changed(part)
-        journal.run(f"run-{number}", {pushed.name: pushed.write(changed), index.name: index.update(changed)}, as_of)
+        journal.run(f"run-{number}", index.push(pushed, part), as_of)
         if number == 0:
             index.compact("compact", as_of)
     return pushed.read(orders.schema)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from recordflow.operators.dedup import cells_text, last_of
 from recordflow.operators.joins import same_key
-from recordflow.sources.journal import Journal, Write
+from recordflow.sources.journal import Journal, Output, Write
 
 
 @dataclass(frozen=True)
@@ -72,6 +72,7 @@ class RowHashIndex:
 
         `incoming` is read twice. Its keys and hashes are made distinct before they meet the index, so
         a key with a third of all rows is one row there, and the join that picks the rows can be split.
+        A run that pushes these rows and updates the index reads them twice; see `push`.
         """
         hashed = incoming.select("*", *self._hashed(incoming))
         pairs = hashed.select("_key", "_hash").distinct()
@@ -93,6 +94,17 @@ class RowHashIndex:
 
         return self._write(lambda: last.repartition(self.buckets, "_key"))
 
+    def push(self, target: Output, incoming: DataFrame, order_by: Sequence[str] = ()) -> dict[str, Write]:
+        """The writes of a run that adds the changed rows of `incoming` to `target` and their hashes here.
+
+        The changed rows are found once: their hashes are made from what the run wrote.
+        """
+
+        def hashes(run: str) -> int:
+            return self.update(target.written(run, incoming.schema), order_by)(run)
+
+        return {target.name: target.write(self.changed(incoming)), self.name: hashes}
+
     def _write(self, hashes: Callable[[], DataFrame]) -> Write:
         """A write of a run's partition, in place of what an attempt that died left there."""
 

@@ -67,6 +67,17 @@ def test_a_finished_job_computes_its_rows_once(spark, counted, monkeypatch):
     assert seen.value == 10
 
 
+def test_a_run_finds_changed_rows_once(spark, counted):
+    count, seen = counted
+    journal = Journal(spark, shared_dir(spark, "once"))
+    index, pushed = RowHashIndex(journal, "hashes", LONG, ["record"], 2), Output(journal, "pushed")
+    data = spark.createDataFrame([(str(i), "e", "f", "x") for i in range(10)], LONG)
+    assert journal.run("r1", index.push(pushed, count(data)), AS_OF)
+    # Once for the hashes and once to pick the rows.
+    assert seen.value == 20
+    assert pushed.read(LONG).count() == 10 and index.changed(data).isEmpty()
+
+
 def test_intake_reads_its_table_for_facts_and_rows_only(spark, tmp_path):
     fields = {"mrn": "7", "dob": "2001-01-01", fixed.INTAKE_READY.field: fixed.INTAKE_READY["Ready to Send"]}
     data = [("1", "e", None, None, f, v) for f, v in fields.items()]
