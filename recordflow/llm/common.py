@@ -18,6 +18,8 @@ LOWER = UPPER.lower()
 
 # A word of lower-cased text: digits, a-z and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What lies between such words. Java matches a class of listed ASCII much faster than its complement.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The same words in text whose upper case is kept, and what lies between them.
 CASED_PIECE = (
     r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -32,11 +34,11 @@ def lower_ascii(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text; of a null, none."""
-    return F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), BETWEEN), "")
 
 
 def word_count(text: Column) -> Column:
-    return F.regexp_count(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORD)).cast("long")
+    return F.size(words(text)).cast("long")
 
 
 def keyed(docs: DataFrame, id_column: str, text_column: str, *others: str) -> DataFrame:
