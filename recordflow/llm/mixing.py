@@ -60,6 +60,11 @@ def documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     return written(rows.groupBy(*KEY).agg(F.count("*").alias("_copies")), "documents")
 
 
+def _words(n: int) -> Column:
+    """A number of words, a long even where it would fit an integer: a weight times it need not."""
+    return F.lit(n).cast("long")
+
+
 def targets(units: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST_PASSES) -> DataFrame:
     """``_source, _s`` (its number in order), ``source_size, blocks, target`` of every source.
 
@@ -78,7 +83,7 @@ def targets(units: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MO
     total = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("n")).first().n
     left, share = total, None
     while True:
-        at_most = F.lit(False) if share is None else F.col("weight") * share[0] / share[1] >= most_words
+        at_most = F.lit(False) if share is None else F.col("weight") * _words(share[0]) / share[1] >= most_words
         sums = sources.agg(
             F.coalesce(F.sum(F.when(at_most, most_words)), F.lit(0)).alias("stopped"),
             F.sum(F.when(~at_most, F.col("weight"))).alias("weight"),
@@ -87,7 +92,7 @@ def targets(units: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MO
         if now == share or not sums.weight:
             break
         share = now
-    target = most_words if share is None else F.least(most_words.cast("double"), F.col("weight") * share[0] / share[1])
+    target = most_words if share is None else F.least(most_words.cast("double"), F.col("weight") * _words(share[0]) / share[1])
     return sources.select("_source", "_s", "source_size", "blocks", target.cast("double").alias("target"))
 
 

@@ -54,6 +54,16 @@ def test_mix_of_messy_documents(messy, monkeypatch, few):
     assert max(Counter((r.doc_id, r.source, r.doc_print, r.copy, r.first_word) for r in drawn).values()) <= 3
 
 
+@pytest.mark.parametrize("words", [429_496_730, 2_147_483_646, 2_147_483_648, 30_000_000_000])
+def test_targets_of_many_words(spark, words):
+    """A total that fits an integer, times a weight, need not."""
+    sizes = {"a": words // 2, "b": words // 3, "c": words // 100}
+    sizes["d"] = words - sum(sizes.values())
+    units = spark.createDataFrame([(s, n // 1000, 1000) for s, n in sizes.items()] + [(s, n % 1000, 1) for s, n in sizes.items()], "_source string, _size long, _copies long")
+    got = {r["_source"]: (r.source_size, r.target) for r in mixing.targets(units).collect()}
+    assert got == {s: (sizes[s], pytest.approx(t)) for s, t in plain_targets(sizes).items()}
+
+
 def test_reruns_agree(make_docs):
     docs = make_docs(*[prose(i, 30 + i) for i in range(60)])
     first, second = (mixing.mix(docs.repartition(n), shard_blocks=5).drawn.collect() for n in (1, 7))
