@@ -16,6 +16,8 @@ with a smaller ID. The corpus is parsed, not searched:
 Texts are kept in compressed packs in the shared folder; only phrase digests, the few phrases of
 step 3 and packs are shuffled. Phrases are dealt to buckets by trigger, and the number of buckets
 grows with the bytes; a pack reports an equal phrase once, however many of its documents hold it.
+What passes between packs and buckets is one row for each two that meet. Their number is that of packs
+times that of buckets, so both are large, and a row costs a few slices: the work goes with the phrases.
 Step 2 compares digests (48 bits of the phrase, 48 of its trigger, per bucket), step 3 bytes.
 
 IDs are integers; a null one counts as larger than all others. Rows of the same ID never remove
@@ -40,11 +42,12 @@ from recordflow.operators.joins import same_key
 
 LENGTH = 50
 GRAM = 20
-PACK_BYTES = 1 << 20
+PACK_BYTES = 8 << 20
 PACK_TEXTS = 60_000
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20
+BUCKET_ASKED = 1 << 16
 LEAST_BUCKETS = 64
-PIECE = 1 << 19
+PIECE = 1 << 16
 LAST = (1 << 63) - 1
 
 U = np.uint64
@@ -156,7 +159,7 @@ def parse(data: np.ndarray, lengths: np.ndarray) -> Phrases:
 
 
 def packs(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``pack, ids, lengths, bytes, blob``: texts in the order of their IDs, about 1 MB in each row."""
+    """``pack, ids, lengths, bytes, blob``: texts in the order of their IDs, about 8 MB in each row."""
     rows = docs.select(
         F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
     )
@@ -200,13 +203,48 @@ def opened(row: dict) -> tuple[np.ndarray, np.ndarray, Phrases]:
     return np.array(row["ids"], np.int64), data, parse(data, lengths)
 
 
-def _parts(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each bucket with the places of its entries."""
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    for part in np.split(order, cuts):
-        if len(part):
-            yield int(bucket[part[0]]), part
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One pack at a time, so that no two are held as Python objects."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            yield batch.slice(at, 1).to_pylist()[0]
+
+
+def _parts(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each bucket with the places of its entries, which are in order of their buckets."""
+    cuts = np.flatnonzero(_first_of(bucket)).tolist()
+    for a, b in zip(cuts, [*cuts[1:], len(bucket)]):
+        yield int(bucket[a]), slice(a, b)
+
+
+def _distinct(found: Phrases, at: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the phrases `at`, the first of each that are equal, in order of their buckets; the buckets."""
+    bucket = found.bucket(buckets)[at]
+    order = np.lexsort((found.text[at], found.key[at], bucket))
+    at, bucket = at[order], bucket[order]
+    head = _first_of(found.key[at]) | _first_of(bucket)
+    return at[head], bucket[head]
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of like weight side by side: in numbers of like size most of them are the same, and compress."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
+def _joined(rows: list[dict], name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(r[name] for r in rows), kind)
+
+
+def _of_packs(pack: np.ndarray, chosen: np.ndarray, packs: int, *values: np.ndarray) -> list[list[bytes]]:
+    """For each of the `values`, what is chosen of each pack."""
+    at = np.flatnonzero(chosen)
+    at = at[np.argsort(pack[at], kind="stable")]
+    cuts = np.searchsorted(pack[at], np.arange(packs + 1)).tolist()
+    return [[v[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] for v in (v[at] for v in values)]
 
 
 def _first_of(values: np.ndarray) -> np.ndarray:
@@ -219,60 +257,47 @@ def _rows(names: list[str], types: list[pa.DataType], rows: list[tuple]) -> pa.R
 
 
 def digests(table: DataFrame, buckets: int) -> DataFrame:
-    """``bucket, pack, ids, keys, groups, texts``: a pack's distinct phrases with their first text."""
+    """``bucket, pack, keys, groups, docs``: a pack's distinct phrases with their first document."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["bucket", "pack", "ids", "keys", "groups", "texts"]
-        types = [pa.int64(), pa.string(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids, _, found = opened(row)
-                order = np.lexsort((found.text, found.key))
-                order = order[_first_of(found.key[order])]
-                bucket = found.bucket(buckets)[order]
-                out = []
-                for number, part in _parts(bucket):
-                    at = order[part]
-                    of, place = np.unique(found.text[at], return_inverse=True)
-                    groups = ((found.group[at] >> U(48)) ^ (found.group[at] >> U(32))) & U(0xFFFF)
-                    out.append(
-                        (number, row["pack"], ids[of].tolist(), found.key[at].tobytes(), groups.astype(np.uint16).tobytes(), place.astype(np.uint16).tobytes())
-                    )
-                yield _rows(names, types, out)
-
-    return table.mapInArrow(digest, "bucket long, pack string, ids array<long>, keys binary, groups binary, texts binary")
+        names = ["bucket", "pack", "keys", "groups", "docs"]
+        types = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
+        for row in _each(batches):
+            ids, _, found = opened(row)
+            at, bucket = _distinct(found, np.arange(len(found.key)), buckets)
+            key, doc = found.key[at], ids[found.text[at]]
+            group = (((found.group[at] >> U(48)) ^ (found.group[at] >> U(32))) & U(0xFFFF)).astype(np.uint16)
+            yield _rows(names, types, [
+                (number, row["pack"], key[part].tobytes(), group[part].tobytes(), _planes(doc[part])) for number, part in _parts(bucket)
+            ])
+
+    return table.mapInArrow(digest, "bucket long, pack string, keys binary, groups binary, docs binary")
 
 
 def met(rows: list[dict]) -> list[tuple[str, bytes, bytes]]:
     """Of one bucket: for each pack, the phrases that came earlier, and those for the dictionary.
 
-    `rows` have ``pack, ids, keys, groups, texts``.
+    `rows` have ``pack, keys, groups, docs``.
     """
-    keys = [np.frombuffer(r["keys"], U) for r in rows]
-    pack = np.repeat(np.arange(len(rows)), [len(k) for k in keys])
-    doc = np.concatenate([np.array(r["ids"], np.int64)[np.frombuffer(r["texts"], np.uint16)] for r in rows])
-    key = np.concatenate(keys)
-    group = (key >> U(48)) << U(16) | np.concatenate([np.frombuffer(r["groups"], np.uint16) for r in rows]).astype(U)
-    order = np.lexsort((pack, doc, key, group))
+    key, group = _joined(rows, "keys", U), _joined(rows, "groups", np.uint16)
+    doc = np.concatenate([_numbers(r["docs"]) for r in rows])
+    pack = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r["groups"]) // 2 for r in rows])
+    # The first bits of a key are the trigger's, so its phrases lie together.
+    order = np.lexsort((doc, key, group))
     key, group, doc, pack = key[order], group[order], doc[order], pack[order]
     phrase_start = _first_of(key) | _first_of(group)
     phrase = np.cumsum(phrase_start) - 1
     least = doc[phrase_start]
     earlier = least[phrase] < doc
     # Triggers of several phrases that don't all begin in one document.
-    trigger_start = _first_of(group[phrase_start])
+    trigger_start = _first_of(key[phrase_start] >> U(48)) | _first_of(group[phrase_start])
     trigger = np.cumsum(trigger_start) - 1
     starts = np.flatnonzero(trigger_start)
-    mixed = np.minimum.reduceat(least, starts) < np.maximum.reduceat(least, starts) if len(starts) else starts
+    mixed = np.minimum.reduceat(least, starts) < np.maximum.reduceat(least, starts)
     # All packs with the smallest ID are asked: rows of one ID may lie in several.
-    looked = (doc == least[phrase]) & mixed[trigger][phrase] if len(starts) else phrase_start
-    out = []
-    for number, row in enumerate(rows):
-        own = pack == number
-        gone, asked = key[own & earlier], key[own & looked]
-        if len(gone) or len(asked):
-            out.append((row["pack"], gone.tobytes(), asked.tobytes()))
-    return out
+    looked = (doc == least[phrase]) & mixed[trigger][phrase]
+    (gone,), (asked,) = (_of_packs(pack, chosen, len(rows), key) for chosen in (earlier, looked))
+    return [(row["pack"], *both) for row, *both in zip(rows, gone, asked) if any(both)]
 
 
 def _grouped(table: DataFrame, work, names: list[str], types: list[pa.DataType], schema: str, columns: list[str]) -> DataFrame:
@@ -290,22 +315,19 @@ def contexts(table: DataFrame, buckets: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["bucket", "pack", "keys", "docs", "sizes", "content"]
         types = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-        for batch in batches:
-            for row in batch.to_pylist():
-                asked = np.concatenate([np.frombuffer(a, U) for a in row["asked"]])
-                ids, data, found = opened(row)
-                order = np.lexsort((found.text, found.key))
-                order = order[_first_of(found.key[order])]
-                order = order[np.isin(found.key[order], asked)]
-                starts = np.cumsum(row["lengths"]) - row["lengths"]
-                out = []
-                for number, part in _parts(found.bucket(buckets)[order]):
-                    at = order[part]
-                    low = starts[found.text[at]] + found.first[at]
-                    sizes = (found.last[at] - found.first[at] + LENGTH).astype(np.uint8)
-                    content = b"".join(data[a : a + n].tobytes() for a, n in zip(low.tolist(), sizes.tolist()))
-                    out.append((number, row["pack"], found.key[at].tobytes(), ids[found.text[at]].tobytes(), sizes.tobytes(), content))
-                yield _rows(names, types, out)
+        for row in _each(batches):
+            asked = np.concatenate([np.frombuffer(a, U) for a in row["asked"]])
+            ids, data, found = opened(row)
+            at, bucket = _distinct(found, np.flatnonzero(np.isin(found.key, asked)), buckets)
+            key, doc = found.key[at], ids[found.text[at]]
+            low = (np.cumsum(row["lengths"]) - row["lengths"])[found.text[at]] + found.first[at]
+            sizes = found.last[at] - found.first[at] + LENGTH
+            out = []
+            for number, part in _parts(bucket):
+                size = sizes[part]
+                content = data[np.repeat(low[part] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+                out.append((number, row["pack"], key[part].tobytes(), _planes(doc[part]), size.astype(np.uint8).tobytes(), content.tobytes()))
+            yield _rows(names, types, out)
 
     return table.mapInArrow(cut, "bucket long, pack string, keys binary, docs binary, sizes binary, content binary")
 
@@ -328,12 +350,10 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, depth: int = LENGTH) -> t
 
 def dictionary(rows: list[dict]) -> list[tuple[str, bytes, bytes]]:
     """Of one bucket: for each pack, its phrases with windows that came earlier, as bit masks."""
-    keys = [np.frombuffer(r["keys"], U) for r in rows]
-    pack = np.repeat(np.arange(len(rows)), [len(k) for k in keys])
-    key = np.concatenate(keys)
-    doc = np.concatenate([np.frombuffer(r["docs"], np.int64) for r in rows])
-    sizes = np.concatenate([np.frombuffer(r["sizes"], np.uint8) for r in rows]).astype(np.int64)
-    data = np.frombuffer(b"".join(r["content"] for r in rows), np.uint8)
+    key, data = _joined(rows, "keys", U), _joined(rows, "content", np.uint8)
+    doc = np.concatenate([_numbers(r["docs"]) for r in rows])
+    sizes = _joined(rows, "sizes", np.uint8).astype(np.int64)
+    pack = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r["sizes"]) for r in rows])
     windows = sizes - LENGTH + 1
     phrase = np.repeat(np.arange(len(key)), windows)
     offset = np.arange(len(phrase)) - np.repeat(np.cumsum(windows) - windows, windows)
@@ -344,18 +364,14 @@ def dictionary(rows: list[dict]) -> list[tuple[str, bytes, bytes]]:
     gone = order[of > least[run]]
     masks = np.zeros(len(key), np.uint32)
     np.bitwise_or.at(masks, phrase[gone], np.uint32(1) << offset[gone].astype(np.uint32))
-    out = []
-    for number, row in enumerate(rows):
-        own = (pack == number) & (masks > 0)
-        if own.any():
-            out.append((row["pack"], key[own].tobytes(), masks[own].tobytes()))
-    return out
+    masked, marks = _of_packs(pack, masks > 0, len(rows), key, masks)
+    return [(row["pack"], *both) for row, *both in zip(rows, masked, marks) if any(both)]
 
 
 def removed(ids: np.ndarray, lengths: np.ndarray, found: Phrases, gone: np.ndarray, masked: np.ndarray, masks: np.ndarray) -> np.ndarray:
     """Which bytes of a pack go."""
     starts = np.cumsum(lengths) - lengths
-    edges = np.zeros(int(lengths.sum()) + 1, np.int64)
+    edges = np.zeros(int(lengths.sum()) + 1, np.int32)
     # A phrase that an earlier text of the same pack holds goes as well; so the first is to be known.
     order = np.lexsort((found.text, found.key))
     head = _first_of(found.key[order])
@@ -375,7 +391,7 @@ def removed(ids: np.ndarray, lengths: np.ndarray, found: Phrases, gone: np.ndarr
             hit = low[part[(bits >> np.uint32(k)) & np.uint32(1) == 1]] + k
             np.add.at(edges, hit, 1)
             np.add.at(edges, hit + LENGTH, -1)
-    return np.cumsum(edges)[:-1] > 0
+    return np.cumsum(edges, dtype=np.int32)[:-1] > 0
 
 
 def dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep_bytes: bool = True) -> DataFrame:
@@ -390,15 +406,16 @@ def dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     answers = written(
         _grouped(
             digests(table, buckets), met, ["of", "gone", "asked"], [pa.string(), pa.binary(), pa.binary()],
-            "of string, gone binary, asked binary", ["pack", "ids", "keys", "groups", "texts"],
+            "of string, gone binary, asked binary", ["pack", "keys", "groups", "docs"],
         ),
         "phrases",
     )
+    n_asked = (answers.agg(F.sum(F.octet_length("asked").cast("long"))).first()[0] or 0) // 8
     asked = answers.filter(F.octet_length("asked") > 0).groupBy("of").agg(F.collect_list("asked").alias("asked"))
     wanted = table.join(asked, same_key(table["pack"], asked["of"])).drop("of")
     windows = written(
         _grouped(
-            contexts(wanted, buckets), dictionary, ["of", "masked", "masks"], [pa.string(), pa.binary(), pa.binary()],
+            contexts(wanted, max(LEAST_BUCKETS, -(-n_asked // BUCKET_ASKED))), dictionary, ["of", "masked", "masks"], [pa.string(), pa.binary(), pa.binary()],
             "of string, masked binary, masks binary", ["pack", "keys", "docs", "sizes", "content"],
         ),
         "windows",
@@ -416,21 +433,20 @@ def dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     names = ["doc_id", "n_bytes", "spans", "kept_sha256", "kept"][: 5 if keep_bytes else 4]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids, data, found = opened(row)
-                lengths, own = np.array(row["lengths"], np.int64), row["answers"] or []
-                join = lambda name, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(a[name], kind) for a in own]])
-                flags = removed(ids, lengths, found, join("gone", U), join("masked", U), join("masks", np.uint32))
-                out, at = [], 0
-                for i, n in zip(ids.tolist(), lengths.tolist()):
-                    flag, text = flags[at : at + n], data[at : at + n]
-                    edge = np.flatnonzero(np.diff(np.concatenate([[False], flag, [False]])))
-                    kept = text[~flag].tobytes() if len(edge) else text.tobytes()
-                    spans = [{"start": a, "stop": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
-                    out.append((None if i == LAST else i, n, spans, hashlib.sha256(kept).hexdigest(), kept)[: len(names)])
-                    at += n
-                yield _rows(names, types, out)
+        for row in _each(batches):
+            ids, data, found = opened(row)
+            lengths, own = np.array(row["lengths"], np.int64), row["answers"] or []
+            join = lambda name, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(a[name], kind) for a in own]])
+            flags = removed(ids, lengths, found, join("gone", U), join("masked", U), join("masks", np.uint32))
+            out, at = [], 0
+            for i, n in zip(ids.tolist(), lengths.tolist()):
+                flag, text = flags[at : at + n], data[at : at + n]
+                edge = np.flatnonzero(np.diff(np.concatenate([[False], flag, [False]])))
+                kept = text[~flag].tobytes() if len(edge) else text.tobytes()
+                spans = [{"start": a, "stop": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
+                out.append((None if i == LAST else i, n, spans, hashlib.sha256(kept).hexdigest(), kept)[: len(names)])
+                at += n
+            yield _rows(names, types, out)
 
     schema = "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept_sha256 string"
     return final.mapInArrow(cut, schema + (", kept binary" if keep_bytes else ""))

@@ -1,8 +1,10 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from recordflow.llm import suffix_dedup as dedup
 
@@ -66,5 +68,38 @@ def test_keeps_bytes_and_spans(make_docs):
     assert [tuple(s) for s in got[1].spans] == [(6, 6 + len(base))] and got[1].kept == b"start  end"
 
 
+def test_a_bucket_that_many_packs_meet_in():
+    """The work of a bucket goes with its phrases, not with its packs times its phrases."""
+    rng = np.random.default_rng(3)
+    packs, each = 20_000, 20
+    key = rng.integers(0, 150_000, (packs, each)).astype(np.uint64) << np.uint64(40)
+    doc = rng.integers(0, 1 << 40, (packs, each))
+    rows = [
+        {"pack": str(i), "keys": k.tobytes(), "groups": bytes(2 * each), "docs": dedup._planes(d)} for i, (k, d) in enumerate(zip(key, doc))
+    ]
+    began = time.process_time()
+    found = {pack: (np.frombuffer(gone, np.uint64), np.frombuffer(asked, np.uint64)) for pack, gone, asked in dedup.met(rows)}
+    took = time.process_time() - began
+    least, some = {}, {}
+    for k, d in zip(key.ravel().tolist(), doc.ravel().tolist()):
+        least[k] = min(d, least.get(k, d))
+    for k, d in least.items():
+        some.setdefault(k >> 48, set()).add(d)
+    for i in range(packs):
+        gone, asked = found.get(str(i), ([], []))
+        pairs = list(zip(key[i].tolist(), doc[i].tolist()))
+        assert sorted(gone) == sorted(k for k, d in pairs if least[k] < d)
+        assert sorted(asked) == sorted(k for k, d in pairs if least[k] == d and len(some[k >> 48]) > 1)
+    assert took < 8
+
+
+def test_few_rows_pass_between_packs_and_buckets(spark):
+    words = F.concat_ws(" ", *[F.sha2(F.concat_ws(":", "id", F.lit(k)), 256) for k in range(160)])
+    docs = spark.range(2_000).select(F.col("id").alias("doc_id"), words.alias("text")).coalesce(1)
+    table = dedup.written(dedup.packs(docs, "doc_id", "text"), "packs")
+    assert table.agg(F.sum("bytes")).first()[0] > 20_000_000
+    assert dedup.digests(table, dedup.LEAST_BUCKETS).count() <= 4 * dedup.LEAST_BUCKETS
+
+
 def test_empty_table(no_docs):
     assert dedup.report(no_docs).count() == 0
